@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marl.llm.history import repeats_by_batch
 from marl.llm.neardup import near_duplicate_groups
 
 
@@ -17,6 +18,10 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_groups(table(spark, folder, "stmt_sig_pins"), "pin_id", "text")
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats_by_batch(table(spark, folder, "resolved_event"), "event_id", "quote", "batch_no")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
