@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marl.llm.history import repeats_by_batch
 from marl.llm.neardup import near_duplicate_groups
+from marl.llm.setjoin import concept_members, similar_pairs
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +23,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats_by_batch(table(spark, folder, "resolved_event"), "event_id", "quote", "batch_no")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_pairs(concept_members(table(spark, folder, "concept_graph")), "id", "members")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
