@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marl.llm.bpe import encode_texts
+from marl.llm.dialogue import conversations
 from marl.llm.history import repeats_by_batch
+from marl.llm.lookalike import lookalike_pairs
 from marl.llm.neardup import near_duplicate_groups
 from marl.llm.setjoin import concept_members, similar_pairs
+from marl.llm.splitter import split_chunks
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +31,26 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(concept_members(table(spark, folder, "concept_graph")), "id", "members")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations(table(spark, folder, "transcript"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return split_chunks(table(spark, folder, "chunk"), table(spark, folder, "cleaned_blob"))
+
+
+def p6_cohesion(spark: SparkSession, folder: str) -> DataFrame:
+    return split_chunks(table(spark, folder, "chunk"), table(spark, folder, "cleaned_blob"), "cohesion")
+
+
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_texts(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike_pairs(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
