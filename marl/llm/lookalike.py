@@ -26,13 +26,13 @@ LOOKALIKES = {
     # Cyrillic, capital
     "А": "A", "В": "B", "С": "C", "Е": "E", "Ԍ": "G", "Н": "H", "І": "I", "Ӏ": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ԛ": "Q", "Ѕ": "S", "Т": "T", "Ѵ": "V", "Ԝ": "W", "Х": "X", "У": "Y", "Ү": "Y",
     # Greek, small
-    "ο": "o", "ϳ": "j", "ϲ": "c", "ι": "i", "ν": "v", "ρ": "p",
+    "ο": "o", "ϳ": "j", "ϲ": "c", "ν": "v", "ρ": "p",
     # Greek, capital
     "Α": "A", "Β": "B", "Ϲ": "C", "Ε": "E", "Η": "H", "Ι": "I", "Ϳ": "J", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ζ": "Z",
     # Armenian
     "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "յ": "j", "Օ": "O", "Տ": "S", "Լ": "L",
     # Latin letters outside the basic alphabet
-    "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "ȷ": "j",
+    "ɑ": "a", "ɡ": "g",
 }
 # The code points that Unicode calls default-ignorable, as ranges, with the interlinear marks.
 IGNORABLE = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFFB), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF)]

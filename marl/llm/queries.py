@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marl.llm.bpe import encode_texts
 from marl.llm.dialogue import conversations
 from marl.llm.history import repeats_by_batch
+from marl.llm.leakage import leaked_items
 from marl.llm.lookalike import lookalike_pairs
 from marl.llm.neardup import near_duplicate_groups
 from marl.llm.setjoin import concept_members, similar_pairs
@@ -47,6 +48,10 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_texts(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_items(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
