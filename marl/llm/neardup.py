@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marl.llm import sketch
-from marl.llm.graph import components
+from marl.operators.graphs import components
 from marl.plans.scratch import drop, keep
 
 LIST_MAX = 256
