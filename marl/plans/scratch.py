@@ -67,6 +67,16 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     return not files.exists(target) and files.rename(source, target)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file through the file system of `path`."""
+    files, target = _hadoop_path(spark, path)
+    out = files.create(target)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and return it as read from there."""
     spark = df.sparkSession
