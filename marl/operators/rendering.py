@@ -83,4 +83,4 @@ def anchored(chunks: DataFrame, blobs: DataFrame) -> DataFrame:
     data = F.encode("_text", "UTF-8")
     part = F.expr("substring(_data, cast(byte_start + 1 as int), cast(byte_end - byte_start as int))")
     out = both.withColumn("_data", data).withColumn("_part", part).where(F.is_valid_utf8("_part")).withColumn("quote", F.col("_part").cast("string"))
-    return out.where(F.trim("quote") != "").drop("_text", "_data", "_part")
+    return out.where(~F.col("quote").rlike(r"(?U)^\s*$")).drop("_text", "_data", "_part")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marl.functions import scores, text
-from marl.operators import folds, graphs, matching, ordered, queue, rendering, temporal
+from marl.operators import folds, graphs, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.operators.incremental import changed_entries
 from marl.plans.scratch import fresh_path
 
@@ -100,13 +100,13 @@ def report_latest(spark, folder):
 
 
 @query("""
-WITH RECURSIVE r AS (SELECT p_partkey AS loser, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_partkey // 3 END AS winner FROM part WHERE p_size % 2 = 0 OR p_size % 7 = 0),
+WITH RECURSIVE r AS (SELECT p_partkey AS loser, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_partkey // 3 END AS winner FROM part WHERE p_partkey > 0 AND (p_size % 2 = 0 OR p_size % 7 = 0)),
 walk AS (SELECT loser, winner FROM r UNION ALL SELECT w.loser, r.winner FROM walk w JOIN r ON w.winner = r.loser)
 SELECT loser, winner FROM walk w WHERE winner IS NULL OR winner NOT IN (SELECT loser FROM r)
 """)
 def tag_redirects(spark, folder):
     """Each redirect followed to its end; a dropped end is null."""
-    p = table(spark, folder, "part").where("p_size % 2 = 0 or p_size % 7 = 0")
+    p = table(spark, folder, "part").where("p_partkey > 0 and (p_size % 2 = 0 or p_size % 7 = 0)")
     return folds.terminal(p.select(F.col("p_partkey").alias("loser"), F.expr("case when p_size % 7 = 0 then null else p_partkey div 3 end").alias("winner")))
 
 
@@ -597,6 +597,36 @@ def concept_digest(spark, folder):
     return c.orderBy(F.desc("sessions"), "id").limit(80).select("id", "grp", "sessions")
 
 
+# Order-dependent operators
+
+
+@query()
+def active_path(spark, folder):
+    """The surviving records of every session, in order."""
+    return transcripts.active_path(table(spark, folder, "transcript"))
+
+
+@query()
+def rendered_sessions(spark, folder):
+    """Every session as text: its hash, length, and number of turns and segments."""
+    r = transcripts.rendered(table(spark, folder, "transcript"))
+    return r.select("session_id", F.sha2("text", 256).alias("cleaned_hash"), F.length("text").alias("chars"), F.size("turns").alias("turns"), (F.array_max("turns.segment") + 1).alias("segments"))
+
+
+@query()
+def session_windows(spark, folder):
+    """Windows of 12,000 characters over the rendered sessions."""
+    r = transcripts.rendered(table(spark, folder, "transcript"))
+    return r.select("session_id", F.explode(rendering.packed(F.col("turns"))).alias("w")).select("session_id", "w.turn_start", "w.turn_end", "w.char_start", "w.char_end", "w.segment")
+
+
+@query()
+def resolved_claims(spark, folder):
+    """Events resolved into claims without a model, and what each claim rests on."""
+    e = table(spark, folder, "resolved_event").select(F.col("event_id").cast("string").alias("event_id"), "session_id", F.col("session_id").alias("sitting"), F.col("quote").alias("summary"), "quote", "confidence", scores.salience(F.col("markers"), F.col("confidence")).alias("priority"))
+    return resolving.claims_of(resolving.resolve(e), e.dropDuplicates(["event_id"]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
