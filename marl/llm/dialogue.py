@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marl.plans.scratch import drop, keep
+from marl.plans.streams import groups
 
 #: Records of a session that one task walks, at about 40 bytes each.
 WIDE = 1_000_000
@@ -88,23 +89,6 @@ def sound(flags) -> bool:
 def _walked(rows: DataFrame) -> DataFrame:
     """(session_id, turn_no, uuid) of sessions that one task can hold."""
 
-    def sessions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column(0)
-            codes = names.dictionary_encode().indices.to_numpy()
-            heads = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), batch.num_rows]
-            for a, b in zip(heads, heads[1:]):
-                part = batch.slice(a, b - a)
-                if held and held[0].column(0)[0] != part.column(0)[0]:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                held.append(part)
-        if held:
-            yield pa.Table.from_batches(held)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("session_id", pa.string()), ("turn_no", pa.int32()), ("uuid", pa.string())])
         out: list[tuple[str, list[str]]] = []
@@ -115,7 +99,7 @@ def _walked(rows: DataFrame) -> DataFrame:
             numbers = [i for _, u in out for i in range(1, len(u) + 1)]
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(numbers, pa.int32()), pa.array([x for _, u in out for x in u], pa.string())], schema=schema)
 
-        for table in sessions(batches):
+        for table in groups(batches):
             of = lambda c: table.column(c).to_numpy()
             spoken = walk(of("pos"), of("flags"), of("own"), of("target"), of("has_ref"))
             if spoken:

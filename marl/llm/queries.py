@@ -60,5 +60,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
 
+_FORM = "trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+
+P1_SQL = f"""
+WITH RECURSIVE t AS (SELECT pin_id, {_FORM} AS form FROM stmt_sig_pins WHERE text IS NOT NULL),
+c AS (SELECT pin_id, any_value(length(form)) AS n, c, count(*) AS k FROM (SELECT pin_id, form, unnest(string_split(form, '')) AS c FROM t WHERE form <> '') GROUP BY pin_id, c),
+h AS (SELECT pin_id FROM c GROUP BY pin_id HAVING -sum(k / n * log2(k / n)) >= 3),
+f AS (SELECT min(pin_id) AS rep, form FROM t JOIN h USING (pin_id) GROUP BY form),
+g AS (SELECT DISTINCT rep, unnest(list_transform(range(1, greatest(length(form) - 2, 2)), lambda i: substr(form, i::BIGINT, 4))) AS piece FROM f),
+n AS (SELECT rep, count(*) AS n FROM g GROUP BY rep),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS k FROM g a JOIN g b ON a.piece = b.piece AND a.rep < b.rep GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.rep = a JOIN n y ON y.rep = b WHERE k / (x.n + y.n - k) >= 0.55),
+l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+w AS (SELECT rep AS node, rep AS seen FROM f UNION SELECT w.node, l.b FROM w JOIN l ON w.seen = l.a),
+r AS (SELECT node, min(seen) AS root FROM w GROUP BY node)
+SELECT root AS group_id, pin_id FROM t JOIN h USING (pin_id) JOIN f USING (form) JOIN r ON r.node = f.rep WHERE root <> pin_id
+"""
+
+P4_SQL = """
+WITH m AS (SELECT DISTINCT id, m FROM (
+SELECT id, 'f' AS k, 'f' || trim(unnest(facets.files)) AS m FROM concept_graph UNION ALL SELECT id, 't', 't' || trim(unnest(facets.tools)) FROM concept_graph
+UNION ALL SELECT id, 'r', 'r' || trim(unnest(facets.repos)) FROM concept_graph) WHERE length(m) > 1),
+s AS (SELECT * FROM m WHERE id IN (SELECT id FROM m WHERE m LIKE 'f%')), n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM s a JOIN s b ON a.m = b.m AND a.id < b.id GROUP BY 1, 2)
+SELECT a AS id_a, b AS id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE k / (x.n + y.n - k) >= 0.6
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_found": P1_SQL, "p4_found": P4_SQL}
