@@ -171,6 +171,26 @@ def span_text(data: Column, start: Column, end: Column) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
+def context(data: Column, start: Column, end: Column, width: int = 160) -> Column:
+    """The text of a span and `width` bytes on both sides of it; characters cut at the ends are replaced."""
+    low = F.greatest(start - width, F.lit(0))
+    part = F.substr(data, (low + 1).cast("int"), (end + width - low).cast("int"))
+    return F.make_valid_utf8(part.cast("string"))
+
+
+def in_source(handle: Column, focus: str) -> Column:
+    """Whether a handle holds `focus`, case apart; an unknown handle does not."""
+    return F.coalesce(F.contains(F.lower(handle), F.lit(focus.lower())), F.lit(False))
+
+
+def quarantined(handle: Column, parts: list[str]) -> Column:
+    """Whether a handle holds one of `parts`; an unknown handle does not, and so is kept."""
+    out = F.lit(False)
+    for p in parts:
+        out = out | in_source(handle, p)
+    return out
+
+
 def byte_offset(text: Column, chars: Column) -> Column:
     """The byte place of a character place in the UTF-8 form of a text."""
     return F.octet_length(F.substr(text, F.lit(1), chars)).cast("bigint")

@@ -67,6 +67,20 @@ def _less_than(values: DataFrame, value: str, asked: DataFrame, key: str, name:
     return counted.select(key, (F.col("inside") + F.col("base")).cast("bigint").alias(name))
 
 
+def runs_since(df: DataFrame, key: str, ts: Column, runs: DataFrame, at: str) -> DataFrame:
+    """(key, runs): how many of `runs` came after the time of each row, without pairing rows and runs. Null times take no part."""
+    asked = df.select(key, (-seconds(ts)).alias("x")).where("x is not null")
+    stamps = runs.where(F.col(at).isNotNull()).select((-seconds(F.col(at))).alias("e"))
+    return _less_than(stamps, "e", asked, key, "runs")
+
+
+def forgotten(df: DataFrame, key: str, ts: Column, runs: DataFrame, at: str, salience: Column, now: str, tau: int = 4, floor: float = 0.05, days: float = 7) -> DataFrame:
+    """Rows that `tau` runs or more have passed over, of a salience below `floor`, and at least `days` old."""
+    low = df.where((salience < floor) & (age_days(ts, now) >= days))
+    passed = runs_since(low, key, ts, runs, at).where(F.col("runs") >= tau)
+    return low.join(passed.select(key), key, "left_semi")
+
+
 def stale(df: DataFrame, ts: Column, now: str, days: float = 270) -> DataFrame:
     """Rows whose time is more than `days` before `now`; unknown times are fresh."""
     return df.where(age_days(ts, now) > days)

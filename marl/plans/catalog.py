@@ -357,6 +357,16 @@ def greedy_pack(spark, folder):
     return b.select("cleaned_hash", F.explode(rendering.packed(F.col("turns"), 1500)).alias("w")).select("cleaned_hash", "w.turn_start", "w.turn_end", "w.char_start", "w.char_end", "w.segment")
 
 
+@query("""
+SELECT cleaned_hash, t."index" AS turn, octet_length(encode(substr(text, 1, t.start))) AS byte_start, octet_length(encode(substr(text, 1, t."end"))) AS byte_end
+FROM (SELECT cleaned_hash, text, unnest(turns) AS t FROM cleaned_blob)
+""")
+def turn_bytes(spark, folder):
+    """Turns of blobs in bytes."""
+    b = table(spark, folder, "cleaned_blob").select("cleaned_hash", "text", F.explode("turns").alias("t"))
+    return b.select("cleaned_hash", F.col("t.index").alias("turn"), text.byte_offset(F.col("text"), F.col("t.start")).alias("byte_start"), text.byte_offset(F.col("text"), F.col("t.end")).alias("byte_end"))
+
+
 @query("""
 WITH t AS (SELECT cleaned_hash, unnest(turns) AS t FROM cleaned_blob), c AS (SELECT DISTINCT cleaned_hash, byte_start, byte_end FROM chunk WHERE byte_start < byte_end)
 SELECT c.cleaned_hash, c.byte_start, c.byte_end, count(*) AS turns, max(t.t."index") AS last_turn FROM c JOIN t ON c.cleaned_hash = t.cleaned_hash AND t.t.start < c.byte_end + 400 AND t.t."end" > c.byte_start - 400 AND t.t.start < t.t."end" GROUP BY ALL
@@ -420,6 +430,19 @@ def staleness(spark, folder):
     return temporal.stale(_ranges(spark, folder), F.col("e"), NOW, 100).select("id")
 
 
+@query(f"""
+WITH e AS (SELECT event_id, born, coalesce(confidence, 0.5) * (coalesce(markers.surprise, 0) + 0.7 * coalesce(markers.insight, 0) + 0.5 * coalesce(markers.research, 0) + 0.01) AS s FROM resolved_event WHERE born IS NOT NULL),
+r AS (SELECT DISTINCT run_id, min(started_at) AS at FROM report GROUP BY run_id)
+SELECT event_id FROM e WHERE s < 0.3 AND (epoch(TIMESTAMP '{NOW}') - epoch(born)) / 86400 >= 7 AND (SELECT count(*) FROM r WHERE epoch(r.at) > epoch(e.born)) >= 4
+""")
+def forget_candidates(spark, folder):
+    """Events of low salience that four runs or more have passed over."""
+    runs = table(spark, folder, "report").groupBy("run_id").agg(F.min("started_at").alias("at"))
+    e = table(spark, folder, "resolved_event")
+    out = temporal.forgotten(e, "event_id", F.col("born"), runs, "at", scores.salience(F.col("markers"), F.col("confidence")), NOW, 4, 0.3)
+    return out.select("event_id")
+
+
 # Facets, candidates and claims
 
 

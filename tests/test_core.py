@@ -164,6 +164,18 @@ def test_spans_and_lines(spark):
     assert tuple(spark.range(1).select(span.alias("s")).first()[0]) == (0, 6)
 
 
+def test_context_and_sources(spark):
+    df = spark.createDataFrame([("aäbcdé",)], "t string").withColumn("d", F.encode("t", "UTF-8"))
+    got = df.select(text.context(F.col("d"), F.lit(3), F.lit(5), 1), text.context(F.col("d"), F.lit(0), F.lit(1), 99), text.in_source(F.lit("/Home/X"), "home"), text.in_source(F.lit(None).cast("string"), "x"), text.quarantined(F.lit("/a/b"), ["q", "A/"])).first()
+    assert tuple(got) == ("\ufffdbcd", "aäbcdé", True, False, True)
+
+
+def test_subjects(spark):
+    spans = spark.createDataFrame([(1, "s", 0, 10), (2, "s", 9000, 9010), (3, "t", 0, 5)], "id int, k string, byte_start bigint, byte_end bigint")
+    writes = spark.createDataFrame([("s", 100, 120, "/a"), ("s", 50_000, 50_010, "/b")], "k string, low bigint, high bigint, path string")
+    assert {r.id: r.files for r in transcripts.subjects(spans, writes, "k").collect()} == {1: ["/a"], 2: ["/a", "/b"], 3: []}
+
+
 def test_document_turns_join_back(spark):
     docs = [(1, "a\n\nb\n\n\nc", "t"), (2, None, None), (3, f"x{rendering.START} -->y{rendering.END}z", "")]
     for r in rendering.document_turns(spark.createDataFrame(docs, "id int, text string, title string"), "id", "text", "title").collect():
