@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marl.llm import sketch
@@ -66,8 +66,9 @@ def subset_keys(forms: DataFrame, least: float = sketch.SIM_MIN) -> DataFrame:
 
 
 def listed(keys: DataFrame) -> DataFrame:
-    """The lists that hold two sets or more: (key, rep, held). One shuffle; keys met once, nearly all, end here."""
-    return keys.withColumn("held", F.count("*").over(Window.partitionBy("key"))).where("held > 1")
+    """The lists that hold two sets or more: (key, rep, held). Counted before the join, so that a list of any length is spread."""
+    held = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    return keys.join(held, "key")
 
 
 def list_pairs(lists: DataFrame) -> DataFrame:
@@ -87,7 +88,8 @@ def verified(pairs: DataFrame, signs: DataFrame, forms: DataFrame, a: str = "a",
 def _heavy_links(lists: DataFrame, signs: DataFrame, forms: DataFrame, links: DataFrame, least: float) -> DataFrame:
     """Further links among the sets of heavy lists, such that their components are those of all pairs."""
     heavy = lists.where(F.col("held") > LIST_MAX)
-    star = heavy.withColumn("a", F.min("rep").over(Window.partitionBy("key"))).where("rep > a").select("a", F.col("rep").alias("b")).distinct()
+    least_rep = heavy.groupBy("key").agg(F.min("rep").alias("a"))
+    star = heavy.join(least_rep, "key").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
     links = keep(links.union(verified(star, signs, forms, least=least).select("a", "b")), "links")
     roots = components(links)
     parts = keep(heavy.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")), "parts")
