@@ -26,7 +26,8 @@ from marl.llm import sketch
 from marl.operators.graphs import components
 from marl.plans.scratch import drop, keep
 
-LIST_MAX = 256
+#: The length up to which a list yields all its pairs.
+LIST_MAX = 16
 
 
 def enumeration_rows(n: int, least: float = sketch.SIM_MIN) -> int:
