@@ -469,7 +469,7 @@ def _file_pairs(spark, folder):
 
 @query(f"WITH {_FILES} SELECT a, b, len(shared)::INT AS files, array_to_string(shared, '|') AS shared, 3.0 * len(shared) AS score FROM p")
 def facet_overlap_edges(spark, folder):
-    """Edges between concepts that share a file that is not everyone's."""
+    """Edges between concepts that share a file which at most 2 % of them hold; `shared_file_edges` has those of all files."""
     p = _file_pairs(spark, folder)
     return p.select("a", "b", F.size("shared").alias("files"), F.array_join("shared", "|").alias("shared"), scores.facet_score(F.size("shared"), F.lit(0), F.lit(0)).alias("score"))
 
@@ -496,6 +496,16 @@ def facet_components(spark, folder):
     return graphs.components(_file_pairs(spark, folder).where(F.size("shared") >= 2), "a", "b")
 
 
+@query("""
+WITH m AS (SELECT DISTINCT id, unnest(facets.files) AS member FROM concept_graph WHERE id IS NOT NULL)
+SELECT a.id AS a, b.id AS b, count(*)::INT AS files, array_to_string(list_sort(list(a.member)), '|') AS shared FROM m a JOIN m b ON a.member = b.member AND a.id < b.id GROUP BY 1, 2
+""")
+def shared_file_edges(spark, folder):
+    """Edges between concepts that share a file, whoever else holds it."""
+    p = matching.facet_pairs(matching.members(table(spark, folder, "concept_graph"), "id", "facets.files"), "id")
+    return p.select("a", "b", F.size("shared").alias("files"), F.array_join("shared", "|").alias("shared"))
+
+
 @query("""
 WITH q AS (SELECT session_id, event_id, quote, markers, confidence FROM resolved_event WHERE session_id IS NOT NULL)
 SELECT session_id, count(DISTINCT event_id) AS events, count(DISTINCT quote) AS quotes, max(coalesce(markers.surprise, 0)) AS surprise, max(coalesce(markers.insight, 0)) AS insight, max(coalesce(markers.research, 0)) AS research, max(coalesce(confidence, 0.5)) AS confidence FROM q GROUP BY session_id
