@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marl.functions import scores, text
-from marl.operators import folds, graphs, matching, ordered, queue, rendering, resolving, temporal, transcripts
+from marl.operators import facets, folds, graphs, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.operators.incremental import changed_entries
 from marl.plans.scratch import fresh_path
 
@@ -506,6 +506,42 @@ def shared_file_edges(spark, folder):
     return p.select("a", "b", F.size("shared").alias("files"), F.array_join("shared", "|").alias("shared"))
 
 
+_FACETS = """m AS (SELECT DISTINCT id, kind, member FROM (SELECT id, 'shares-file' AS kind, unnest(facets.files) AS member FROM concept_graph UNION ALL SELECT id, 'shares-repo', unnest(facets.repos) FROM concept_graph
+UNION ALL SELECT id, 'shares-tool', unnest(facets.tools) FROM concept_graph) WHERE id IS NOT NULL AND member IS NOT NULL),
+t AS (SELECT id, min(lo) AS lo, max(hi) AS hi FROM (SELECT id, try_cast(facets.time_range[1] AS TIMESTAMPTZ) AS lo, try_cast(facets.time_range[2] AS TIMESTAMPTZ) AS hi FROM concept_graph WHERE id IS NOT NULL AND len(facets.time_range) = 2) WHERE lo IS NOT NULL AND hi IS NOT NULL GROUP BY id),
+s AS (SELECT a.id AS a, b.id AS b, kind, list_sort(list(a.member)) AS shared FROM m a JOIN m b USING (kind, member) WHERE a.id < b.id GROUP BY ALL
+UNION ALL SELECT a.id, b.id, 'temporal-proximity', [] FROM t a JOIN t b ON a.id < b.id AND a.lo <= b.hi + INTERVAL 168 HOUR AND b.lo <= a.hi + INTERVAL 168 HOUR),
+c AS (SELECT a, b FROM s GROUP BY a, b HAVING sum(CASE kind WHEN 'shares-file' THEN 3.0 * len(shared) WHEN 'shares-repo' THEN 1.0 * len(shared) WHEN 'shares-tool' THEN 0.5 * len(shared) ELSE 0.25 END) >= 3.0)"""
+
+
+@query(f"WITH {_FACETS} SELECT a AS source, b AS target, kind, array_to_string(shared, '|') AS shared FROM s")
+def concept_edges(spark, folder):
+    """Every facet overlap of every pair of concepts: files, repositories, tools, nearness in time."""
+    return facets.edges(table(spark, folder, "concept_graph")).withColumn("shared", F.array_join("shared", "|"))
+
+
+@query(f"""
+WITH RECURSIVE {_FACETS}, n AS (SELECT id, row_number() OVER (ORDER BY id) AS k FROM (SELECT DISTINCT id FROM concept_graph WHERE id IS NOT NULL)),
+w AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR AS id, NULL::VARCHAR AS leader
+UNION ALL SELECT k, CASE WHEN found IS NULL THEN list_append(leaders, id) ELSE leaders END, id, coalesce(found, id) FROM
+(SELECT n.k, w.leaders, n.id, (SELECT min(c.a) FROM c WHERE c.b = n.id AND list_contains(w.leaders, c.a)) AS found FROM w JOIN n ON n.k = w.k + 1))
+SELECT id AS node, leader FROM w WHERE k > 0
+""")
+def concept_leaders(spark, folder):
+    """Every concept by the first leader against which its facet score is CLUSTER_MIN or more."""
+    c = table(spark, folder, "concept_graph")
+    return graphs.leaders(c.select(F.col("id").alias("node")), facets.close_pairs(c))
+
+
+@query(f"""
+WITH RECURSIVE {_FACETS}, e AS (SELECT a AS x, b AS y FROM c UNION SELECT b, a FROM c),
+w AS (SELECT x AS node, x AS seen FROM e UNION SELECT w.node, e.y FROM w JOIN e ON w.seen = e.x) SELECT node, min(seen) AS root FROM w GROUP BY node
+""")
+def concept_components(spark, folder):
+    """Components of concepts linked by a facet score of CLUSTER_MIN or more."""
+    return graphs.components(facets.close_pairs(table(spark, folder, "concept_graph")), "a", "b")
+
+
 @query("""
 WITH q AS (SELECT session_id, event_id, quote, markers, confidence FROM resolved_event WHERE session_id IS NOT NULL)
 SELECT session_id, count(DISTINCT event_id) AS events, count(DISTINCT quote) AS quotes, max(coalesce(markers.surprise, 0)) AS surprise, max(coalesce(markers.insight, 0)) AS insight, max(coalesce(markers.research, 0)) AS research, max(coalesce(confidence, 0.5)) AS confidence FROM q GROUP BY session_id

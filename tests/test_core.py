@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marl.functions import scores, seam, text
-from marl.operators import folds, graphs, incremental, matching, ordered, queue, rendering, resolving, temporal, transcripts
+from marl.operators import facets, folds, graphs, incremental, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.plans.scratch import fresh_path
 
 
@@ -284,3 +284,33 @@ def test_facet_pairs_keep_frequent_members(spark):
     assert got == {(a, b): ["all", "x"] if a + b == "ab" else ["all"] for i, a in enumerate("abcd") for b in "abcd"[i + 1 :]}
     assert matching.facet_pairs(table, "id", 0.02).count() == 0
     assert matching.facet_pairs(table.limit(0), "id").count() == 0
+
+
+def test_facet_relations_count_every_kind(spark):
+    day = lambda n: (dt.datetime(2026, 1, 1) + dt.timedelta(n)).isoformat() + "+00:00"
+    rng = random.Random(3)
+    draw = lambda names, k: rng.sample(names, rng.randint(0, k))
+    data = {f"c{i:02}": (draw(["r1", "r2", "r3", "r4"], 3), draw(["f1", "f2", "f3", "f4", "f5", "f6", "f7", "f8"], 1), draw(["t1", "t2", "t3", "t4", "t5", "t6", "t7"], 7), (a := rng.randint(0, 90), a + rng.randint(0, 5)) if i % 7 else None) for i in range(40)}
+    shape = "id string, facets struct<repos:array<string>,files:array<string>,tools:array<string>,time_range:array<string>>"
+    listed = [(k, (r or None, [*f, None], t, w and [day(w[0]), day(w[1])])) for k, (r, f, t, w) in data.items()]
+    df = spark.createDataFrame([*listed, listed[0], (None, (["r1"], ["f1"], ["t1"], None))], shape)
+    edges, near, lead, first = set(), set(), {}, []
+    for b in sorted(data):
+        for a in sorted(data):
+            if a >= b:
+                continue
+            (ra, fa, ta, wa), (rb, fb, tb, wb) = data[a], data[b]
+            shared = {"shares-file": sorted({*fa} & {*fb}), "shares-repo": sorted({*ra} & {*rb}), "shares-tool": sorted({*ta} & {*tb})}
+            close = bool(wa and wb and max(wb[0] - wa[1], wa[0] - wb[1]) <= 7)
+            edges |= {(a, b, k, tuple(v)) for k, v in shared.items() if v} | ({(a, b, "temporal-proximity", ())} if close else set())
+            if 3.0 * len(shared["shares-file"]) + len(shared["shares-repo"]) + 0.5 * len(shared["shares-tool"]) + 0.25 * close >= 3.0:
+                near.add((a, b))
+        lead[b] = next((a for a in first if (a, b) in near), b)
+        if lead[b] == b:
+            first.append(b)
+    assert len({k for _, _, k, _ in edges}) == 4 and len(near) > len({e[:2] for e in edges if e[2] == "shares-file"})
+    got = [(r.source, r.target, r.kind, tuple(r.shared)) for r in facets.edges(df).collect()]
+    assert len(got) == len(edges) and set(got) == edges
+    assert rows(facets.close_pairs(df)) == sorted(near)
+    assert dict(rows(graphs.leaders(df.select(F.col("id").alias("node")), facets.close_pairs(df)))) == lead
+    assert facets.edges(df.limit(0)).count() == 0
