@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marl.functions import scores, text
-from marl.operators import facets, folds, graphs, matching, ordered, queue, rendering, resolving, temporal, transcripts
+from marl.operators import facets, folds, graphs, histogram, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.operators.incremental import changed_entries
 from marl.plans.scratch import fresh_path
 
@@ -301,6 +301,20 @@ def band_histogram(spark, folder):
     return _trap(spark, folder).groupBy("band").agg(count(F.col("same_lesson")).alias("same"), count(~F.col("same_lesson")).alias("other"))
 
 
+@query(f"""
+WITH f AS (SELECT DISTINCT pin_id, session_id, {_FORM.format('text')} AS form FROM stmt_sig_pins WHERE pin_id IS NOT NULL AND text IS NOT NULL),
+h AS (SELECT pin_id, -sum(k / n * log2(k / n)) AS e FROM (SELECT pin_id, any_value(length(form)) AS n, c, count(*) AS k FROM (SELECT pin_id, form, unnest(string_split(form, '')) AS c FROM f WHERE form <> '') GROUP BY pin_id, c) GROUP BY pin_id),
+g AS (SELECT pin_id, session_id, {_GRAMS.format('form')} AS g, coalesce(e, 0) >= 3.0 AS sure FROM f LEFT JOIN h USING (pin_id)),
+j AS (SELECT coalesce(a.session_id = b.session_id, false) AS same, a.sure AND b.sure AS sure, CASE WHEN len(a.g) > 0 AND len(b.g) > 0 THEN len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) ELSE 0 END AS sim FROM g a JOIN g b ON a.pin_id < b.pin_id),
+v AS (SELECT *, CASE WHEN sim >= 0.7 THEN 'cross' WHEN sim >= 0.55 THEN 'high' WHEN sim >= 0.12 THEN 'residue' ELSE 'non' END AS band FROM j)
+SELECT band, count(*) FILTER (same) AS same, count(*) FILTER (NOT same) AS other, count(*) FILTER (sure AND (band = 'residue' OR band = 'high' AND NOT same)) AS asked
+FROM (VALUES ('non'), ('residue'), ('high'), ('cross')) b(band) LEFT JOIN v USING (band) GROUP BY band
+""")
+def statement_bands(spark, folder):
+    """All pairs of statements by similarity band, split by one session or two, and how many a model would be asked."""
+    return histogram.band_counts(table(spark, folder, "stmt_sig_pins"), "pin_id", "text", "session_id")
+
+
 @query(f"WITH {_TRAP} SELECT count(*) FILTER (sim >= 0.55) AS accepted, count(*) FILTER (sim >= 0.55 AND same_lesson) AS right_accepted, count(*) FILTER (same_lesson) AS labelled, count(*) FILTER (same_lesson AND sim < 0.12) AS stranded, round(avg((band = 'residue')::INT), 6) AS residue FROM v")
 def gold_scoring(spark, folder):
     """How the thresholds do on the labelled pairs."""

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marl.functions import scores, seam, text
-from marl.operators import facets, folds, graphs, incremental, matching, ordered, queue, rendering, resolving, temporal, transcripts
+from marl.operators import facets, folds, graphs, histogram, incremental, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.plans.scratch import fresh_path
 
 
@@ -314,3 +314,26 @@ def test_facet_relations_count_every_kind(spark):
     assert rows(facets.close_pairs(df)) == sorted(near)
     assert dict(rows(graphs.leaders(df.select(F.col("id").alias("node")), facets.close_pairs(df)))) == lead
     assert facets.edges(df.limit(0)).count() == 0
+
+
+def test_band_counts_take_every_pair(spark):
+    rng = random.Random(5)
+    base = ["the cache is cleared before each run of the build", "Ünïcode 漢字 and ascii stand side by side here", "retry the upload once, then give up"]
+    said = [" ".join(w for w in rng.choice(base).split() if rng.random() < 0.8) for _ in range(60)] + ["", "ab", "abc", "aaaa aaaa", None]
+    data = [(i, t, f"s{i % 4}" if i % 9 else None) for i, t in enumerate(said)]
+    df = spark.createDataFrame([*data, data[0]], "id bigint, t string, s string")
+    grams = lambda f: {f[i : i + 4] for i in range(max(1, len(f) - 3))} if f else set()
+    full = [(text.normal_form(t), s) for _, t, s in data if t is not None]
+    want = {b: [0, 0, 0] for b in histogram.BANDS}
+    for i, (f, s) in enumerate(full):
+        for g, o in full[:i]:
+            p, q = grams(f), grams(g)
+            sim = len(p & q) / len(p | q) if p and q else 0
+            b = histogram.BANDS[(sim >= 0.12) + (sim >= 0.55) + (sim >= 0.7)]
+            same = s is not None and s == o
+            want[b][0 if same else 1] += 1
+            want[b][2] += (b == "residue" or (b == "high" and not same)) and min(text.signature(f)[3], text.signature(g)[3]) >= 3.0
+    assert all(sum(v) for v in want.values())
+    for side in (1000, 20):
+        assert {r.band: [r.same, r.other, r.asked] for r in histogram.band_counts(df, "id", "t", "s", side).collect()} == want
+    assert {tuple(r)[1:] for r in histogram.band_counts(df.limit(0), "id", "t", "s").collect()} == {(0, 0, 0)}
