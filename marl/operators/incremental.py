@@ -95,21 +95,21 @@ def changed_entries(plans: DataFrame, reports: DataFrame, path: str, runs: int =
     """(run_id, feed_url, entry_id): of each pull run the handled entries that were new or had changed.
 
     The history is worked off in `runs` runs against the target in `path`, each of which sees the plans of one span of
-    time; the result does not depend on how many. Runs planned at one time follow each other by run_id. Empty tables give
-    no rows; other columns are ignored.
+    time; the result does not depend on how many. Runs planned at one time follow each other by run_id. Runs of unknown
+    planned_at come after all others, by run_id, and in the last slice. Empty tables give no rows; other columns are ignored.
     """
     spark = plans.sparkSession
     entries = handled_entries(plans, reports)
-    place = F.struct("planned_at", "run_id", "pos")
-    rows = entries.select("datastore", "feed_url", "entry_id", F.col("content_hash").alias("version"), place.alias("place"), F.date_trunc("week", "planned_at").alias("span"))
+    unknown = F.col("planned_at").isNull().alias("unknown")
+    place = F.struct(unknown, "planned_at", "run_id", "pos")
+    rows = entries.select("datastore", "feed_url", "entry_id", F.col("content_hash").alias("version"), place.alias("place"), F.struct(unknown, F.date_trunc("week", "planned_at").alias("week")).alias("span"))
     rows = keep(rows, "handled")
     target = Target(spark, path, rows.drop("span").schema)
-    low, high = rows.agg(F.min("place.planned_at"), F.max("place.planned_at")).first()
-    if low is not None:
-        ends = [low + (high - low) * i / runs for i in range(runs)]
-        for i, start in enumerate(ends):
-            part = rows.where(F.col("place.planned_at") >= F.lit(start))
-            if i + 1 < runs:
-                part = part.where(F.col("place.planned_at") < F.lit(ends[i + 1]))
-            process_new(target, part, ["datastore", "feed_url", "entry_id"], "span")
+    low, high, n = rows.agg(F.min("place.planned_at"), F.max("place.planned_at"), F.count("*")).first()
+    ends = [low + (high - low) * i / runs for i in range(runs)] if low is not None else [None] if n else []
+    for i, start in enumerate(ends):
+        part = rows.where(F.col("place.unknown") | (F.col("place.planned_at") >= F.lit(start))) if start is not None else rows
+        if i + 1 < len(ends):
+            part = part.where(F.col("place.planned_at") < F.lit(ends[i + 1]))
+        process_new(target, part, ["datastore", "feed_url", "entry_id"], "span")
     return target.rows().select("place.run_id", "feed_url", "entry_id")

@@ -337,3 +337,16 @@ def test_band_counts_take_every_pair(spark):
     for side in (1000, 20):
         assert {r.band: [r.same, r.other, r.asked] for r in histogram.band_counts(df, "id", "t", "s", side).collect()} == want
     assert {tuple(r)[1:] for r in histogram.band_counts(df.limit(0), "id", "t", "s").collect()} == {(0, 0, 0)}
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_changed_entries_keep_runs_of_unknown_time(spark, known):
+    t = dt.datetime(2026, 1, 1)
+    e = lambda i, h: ("f", i, "u", h)
+    schema = "run_id string, datastore string, planned_at timestamp, feed_entries array<struct<feed_url:string,entry_id:string,entry_url:string,content_hash:string>>"
+    plans = [("r1", "d", None, [e("1", "x"), e("2", "x")]), ("r2", "d", None, [e("1", "x"), e("2", "y")]), ("r3", "d", t, [e("1", "x")]), ("r4", "d", t + dt.timedelta(9), [e("1", "z")])]
+    plans = plans if known else plans[:2]
+    reports = spark.createDataFrame([(p[0], "tap", t, len(p[3]), 0) for p in plans], "run_id string, stage string, written_at timestamp, processed bigint, skipped bigint")
+    got = rows(incremental.changed_entries(spark.createDataFrame(plans, schema), reports, fresh_path(spark, "t")))
+    late = [("r1", "f", "1"), ("r1", "f", "2"), ("r2", "f", "2")]
+    assert got == (sorted([*late, ("r3", "f", "1"), ("r4", "f", "1")]) if known else late)
