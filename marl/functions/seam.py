@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 RATE_MARKS = ["rate limit", "rate_limit", "rate-limit", "ratelimit", "overloaded", "temporarily limiting", "429", "too many requests", "limiting requests"]
 
 
+_CHOICE = re.compile(r"(same-as|contradicts)(?:-([0-9]+))?")
+
+
 @dataclass
 class Completion:
     text: str
@@ -42,13 +46,16 @@ def json_object(text: str) -> dict | None:
 
 
 def verdict(answer: dict | None, shown: int) -> tuple[str, int]:
-    """(same-as | contradicts | none, n): everything but a choice among the `shown` candidates is none."""
-    said = str((answer or {}).get("verdict", "")).strip().lower()
-    for kind in ("same-as", "contradicts"):
-        number = said.removeprefix(f"{kind}-")
-        if said.startswith(f"{kind}-") and number.isdigit() and 1 <= int(number) <= shown:
-            return kind, int(number)
-    return "none", 0
+    """(same-as | contradicts | none, n): everything but a choice among the `shown` candidates is none.
+
+    The choice stands in the verdict (`same-as-2`) or beside it (`{"verdict": "same-as", "candidate": 2}`)."""
+    answer = answer if isinstance(answer, dict) else {}
+    said, beside = answer.get("verdict"), answer.get("candidate")
+    found = _CHOICE.fullmatch(said.strip().lower()) if isinstance(said, str) else None
+    if not found:
+        return "none", 0
+    number = int(found[2]) if found[2] else beside if type(beside) is int else 0
+    return (found[1], number) if 1 <= number <= shown else ("none", 0)
 
 
 def rate_limited(text: str) -> bool:

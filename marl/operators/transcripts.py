@@ -17,6 +17,10 @@ BLOCKS = "array<struct<type:string,text:string,thinking:string,id:string,name:st
 # The arguments a tool line shows, first ones first, and the tools that write files.
 SHOWN = ["command", "file_path", "path", "pattern", "url", "query", "subagent_type", "description"]
 WRITERS = ["Edit", "Write", "MultiEdit", "NotebookEdit"]
+#: Values that JSON writes without quotes.
+_BARE = r"^(-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?|true|false|null|[\[{].*)$"
+#: The start of a list of blocks, whatever blanks stand in it.
+LISTED = r"^\s*\[\s*\{"
 
 
 def surviving(parent: np.ndarray, logical: np.ndarray, turn: np.ndarray) -> list[int]:
@@ -92,15 +96,21 @@ def result_text(content: Column, is_error: Column) -> Column:
     """The text of a tool result: a string, or the text blocks of a list; errors are marked."""
     listed = F.from_json(content, "array<struct<type:string,text:string>>")
     parts = F.array_join(F.transform(F.filter(listed, lambda b: b["type"] == "text"), lambda b: F.coalesce(b["text"], F.lit(""))), "\n")
-    text = F.when(content.startswith("[{") & listed.isNotNull(), parts).otherwise(F.coalesce(content, F.lit("")))
+    text = F.when(content.rlike(LISTED) & listed.isNotNull(), parts).otherwise(F.coalesce(content, F.lit("")))
     return F.when(F.coalesce(is_error, F.lit(False)), F.concat(F.lit("[error] "), text)).otherwise(text)
 
 
 def tool_line(name: Column, args: Column) -> Column:
-    """One line for a tool call: its name and the first shown argument that is not blank, else its arguments as they are."""
+    """One line for a tool call: its name and the first shown argument that is not blank, else its first four arguments as JSON.
+
+    Arguments of one type other than text are shown as they are written."""
     named = F.from_json(args, ", ".join(f"{k} string" for k in SHOWN))
     given = F.filter(F.transform(F.array(*[named[k] for k in SHOWN]), _strip), lambda x: x.isNotNull() & (x != ""))
-    shown = F.coalesce(F.try_element_at(given, F.lit(1)), F.nullif(args, F.lit("{}")))
+    every = F.from_json(args, "map<string,string>")
+    quoted = lambda v: F.when(v.rlike(_BARE), v).otherwise(F.concat(F.lit('"'), F.regexp_replace(v, r'(["\\\\])', r"\\$1"), F.lit('"')))
+    pairs = F.transform(F.slice(F.map_keys(every), 1, 4), lambda k: F.concat(F.lit('"'), k, F.lit('": '), F.coalesce(quoted(F.try_element_at(every, k)), F.lit("null"))))
+    rest = F.when(F.size(pairs) > 0, F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}")))
+    shown = F.coalesce(F.try_element_at(given, F.lit(1)), rest)
     line = F.concat(F.lit("→ "), F.coalesce(name, F.lit("tool")), F.coalesce(F.concat(F.lit(": "), shown), F.lit("")))
     return truncate(F.regexp_replace(line, "\n", " "), TOOL_LINE_CAP)
 
@@ -108,7 +118,7 @@ def tool_line(name: Column, args: Column) -> Column:
 def blocks(content: Column) -> Column:
     """A message's content as blocks; plain text is one text block."""
     plain = F.array(F.from_json(F.to_json(F.struct(F.lit("text").alias("type"), content.alias("text"))), BLOCKS[len("array<") : -1]))
-    return F.when(content.startswith("["), F.coalesce(F.from_json(content, BLOCKS), plain)).when(content.isNotNull(), plain)
+    return F.when(content.rlike(r"^\s*\["), F.coalesce(F.from_json(content, BLOCKS), plain)).when(content.isNotNull(), plain)
 
 
 def rendered(transcript: DataFrame) -> DataFrame:
@@ -121,7 +131,7 @@ def rendered(transcript: DataFrame) -> DataFrame:
     recs = transcript.where("session_id is not null and uuid is not null")
     content = recs.groupBy("session_id", "uuid").agg(F.max_by(F.struct("type", "subtype", "isMeta", "compactMetadata", "message"), "pos").alias("r"))
     path = active_path(transcript).join(content, ["session_id", "uuid"]).select("session_id", "uuid", "rank", "r.*")
-    listed = recs.where(~F.coalesce("isSidechain", F.lit(False)) & F.col("message.content").startswith("[")).select("session_id", "pos", F.explode(F.from_json("message.content", BLOCKS)).alias("b"))
+    listed = recs.where(~F.coalesce("isSidechain", F.lit(False)) & F.col("message.content").rlike(LISTED)).select("session_id", "pos", F.explode(F.from_json("message.content", BLOCKS)).alias("b"))
     results = listed.where("b.type = 'tool_result' and b.tool_use_id is not null").groupBy("session_id", F.col("b.tool_use_id").alias("id")).agg(F.max_by("b", "pos").alias("b")).select("session_id", "id", result_text(F.col("b.content"), F.col("b.is_error")).alias("result"))
     order = Window.partitionBy("session_id").orderBy("rank")
     compact = (F.col("type") == "system") & (F.col("subtype") == "compact_boundary")

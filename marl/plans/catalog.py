@@ -100,14 +100,14 @@ def report_latest(spark, folder):
 
 
 @query("""
-WITH RECURSIVE r AS (SELECT p_partkey AS loser, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_partkey // 3 END AS winner FROM part WHERE p_partkey > 0 AND (p_size % 2 = 0 OR p_size % 7 = 0)),
+WITH RECURSIVE r AS (SELECT p_partkey AS loser, CASE WHEN p_size > 45 THEN NULL ELSE p_partkey - p_size END AS winner FROM part),
 walk AS (SELECT loser, winner FROM r UNION ALL SELECT w.loser, r.winner FROM walk w JOIN r ON w.winner = r.loser)
 SELECT loser, winner FROM walk w WHERE winner IS NULL OR winner NOT IN (SELECT loser FROM r)
 """)
 def tag_redirects(spark, folder):
-    """Each redirect followed to its end; a dropped end is null."""
-    p = table(spark, folder, "part").where("p_partkey > 0 and (p_size % 2 = 0 or p_size % 7 = 0)")
-    return folds.terminal(p.select(F.col("p_partkey").alias("loser"), F.expr("case when p_size % 7 = 0 then null else p_partkey div 3 end").alias("winner")))
+    """Each redirect followed to its end, in chains of any length; a dropped end is null."""
+    p = table(spark, folder, "part")
+    return folds.terminal(p.select(F.col("p_partkey").alias("loser"), F.expr("case when p_size > 45 then null else p_partkey - p_size end").alias("winner")))
 
 
 @query("""
@@ -472,44 +472,6 @@ def rare_shingle_candidates(spark, folder):
     return matching.rare_candidates(grams(table(spark, folder, "resolved_event"), "event_id", "quote"), grams(table(spark, folder, "benchmark"), "item_id", "text"), "event_id", "item_id")
 
 
-_FILES = """m AS (SELECT DISTINCT id, unnest(facets.files) AS member FROM concept_graph WHERE id IS NOT NULL), m1 AS (SELECT * FROM m WHERE member IS NOT NULL),
-d AS (SELECT member FROM m1 GROUP BY member HAVING count(*) > 1 AND count(*) <= greatest(1, floor((SELECT count(DISTINCT id) FROM m1) * 0.02))),
-p AS (SELECT a.id AS a, b.id AS b, list_sort(list(DISTINCT a.member)) AS shared FROM m1 a JOIN d USING (member) JOIN m1 b ON a.member = b.member AND a.id < b.id GROUP BY 1, 2)"""
-
-
-def _file_pairs(spark, folder):
-    return matching.facet_pairs(matching.members(table(spark, folder, "concept_graph"), "id", "facets.files"), "id", 0.02)
-
-
-@query(f"WITH {_FILES} SELECT a, b, len(shared)::INT AS files, array_to_string(shared, '|') AS shared, 3.0 * len(shared) AS score FROM p")
-def facet_overlap_edges(spark, folder):
-    """Edges between concepts that share a file which at most 2 % of them hold; `shared_file_edges` has those of all files."""
-    p = _file_pairs(spark, folder)
-    return p.select("a", "b", F.size("shared").alias("files"), F.array_join("shared", "|").alias("shared"), scores.facet_score(F.size("shared"), F.lit(0), F.lit(0)).alias("score"))
-
-
-@query(f"""
-WITH RECURSIVE {_FILES}, e AS (SELECT a, b FROM p WHERE len(shared) >= 2), n AS (SELECT id, row_number() OVER (ORDER BY id) AS k FROM (SELECT DISTINCT id FROM m1)),
-w AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR AS id, NULL::VARCHAR AS leader
-UNION ALL SELECT k, CASE WHEN found IS NULL THEN list_append(leaders, id) ELSE leaders END, id, coalesce(found, id) FROM
-(SELECT n.k, w.leaders, n.id, (SELECT min(e.a) FROM e WHERE e.b = n.id AND list_contains(w.leaders, e.a)) AS found FROM w JOIN n ON n.k = w.k + 1))
-SELECT id AS node, leader FROM w WHERE k > 0
-""")
-def leader_clusters(spark, folder):
-    """Concepts by the first leader with which they share two files or more."""
-    nodes = matching.members(table(spark, folder, "concept_graph"), "id", "facets.files").select(F.col("id").alias("node"))
-    return graphs.leaders(nodes, _file_pairs(spark, folder).where(F.size("shared") >= 2).select("a", "b"))
-
-
-@query(f"""
-WITH RECURSIVE {_FILES}, e AS (SELECT a AS x, b AS y FROM p WHERE len(shared) >= 2 UNION SELECT b, a FROM p WHERE len(shared) >= 2),
-w AS (SELECT x AS node, x AS seen FROM e UNION SELECT w.node, e.y FROM w JOIN e ON w.seen = e.x) SELECT node, min(seen) AS root FROM w GROUP BY node
-""")
-def facet_components(spark, folder):
-    """Components of concepts linked by two shared files or more."""
-    return graphs.components(_file_pairs(spark, folder).where(F.size("shared") >= 2), "a", "b")
-
-
 @query("""
 WITH m AS (SELECT DISTINCT id, unnest(facets.files) AS member FROM concept_graph WHERE id IS NOT NULL)
 SELECT a.id AS a, b.id AS b, count(*)::INT AS files, array_to_string(list_sort(list(a.member)), '|') AS shared FROM m a JOIN m b ON a.member = b.member AND a.id < b.id GROUP BY 1, 2
@@ -590,18 +552,18 @@ def edge_fingerprint(spark, folder):
 
 
 @query("""
-WITH t AS (SELECT session_id, unnest(from_json(message.content, '[{"type":"VARCHAR","name":"VARCHAR"}]')) AS b FROM transcript WHERE type = 'assistant' AND NOT coalesce(isSidechain, false) AND message.content LIKE '[{%' AND json_valid(message.content))
+WITH t AS (SELECT session_id, unnest(from_json(message.content, '[{"type":"VARCHAR","name":"VARCHAR"}]')) AS b FROM transcript WHERE type = 'assistant' AND NOT coalesce(isSidechain, false) AND regexp_matches(message.content, '^\\s*\\[\\s*\\{') AND json_valid(message.content))
 SELECT session_id, b.name AS tool, count(*) AS uses FROM t WHERE b.type = 'tool_use' AND session_id IS NOT NULL AND b.name IS NOT NULL GROUP BY 1, 2
 """)
 def session_tools(spark, folder):
     """Tools each session used."""
-    t = table(spark, folder, "transcript").where("type = 'assistant' and not coalesce(isSidechain, false) and session_id is not null and message.content like '[{%'")
+    t = table(spark, folder, "transcript").where("type = 'assistant' and not coalesce(isSidechain, false) and session_id is not null").where(F.col("message.content").rlike(transcripts.LISTED))
     b = t.select("session_id", F.explode(F.from_json("message.content", "array<struct<type:string,name:string>>")).alias("b"))
     return b.where("b.type = 'tool_use' and b.name is not null").groupBy("session_id", F.col("b.name").alias("tool")).agg(F.count("*").alias("uses"))
 
 
 _BLOCKS = """b AS (SELECT session_id, pos, uuid, unnest(from_json(message.content, '[{"type":"VARCHAR","id":"VARCHAR","name":"VARCHAR","tool_use_id":"VARCHAR","content":"VARCHAR"}]')) AS b FROM transcript
-WHERE session_id IS NOT NULL AND NOT coalesce(isSidechain, false) AND message.content LIKE '[{%' AND json_valid(message.content)),
+WHERE session_id IS NOT NULL AND NOT coalesce(isSidechain, false) AND regexp_matches(message.content, '^\\s*\\[\\s*\\{') AND json_valid(message.content)),
 u AS (SELECT DISTINCT session_id, b.id AS tool_id, b.name AS tool FROM b WHERE b.type = 'tool_use' AND b.id IS NOT NULL),
 r AS (SELECT session_id, b.tool_use_id AS tool_id, max(pos) AS result_pos FROM b WHERE b.type = 'tool_result' AND b.tool_use_id IS NOT NULL GROUP BY 1, 2)"""
 
@@ -609,7 +571,7 @@ r AS (SELECT session_id, b.tool_use_id AS tool_id, max(pos) AS result_pos FROM b
 @query(f"WITH {_BLOCKS} SELECT session_id, tool_id, tool, result_pos FROM u LEFT JOIN r USING (session_id, tool_id)")
 def tool_results(spark, folder):
     """Tool calls with the place of their last result, wherever in the session it stands."""
-    t = table(spark, folder, "transcript").where("session_id is not null and not coalesce(isSidechain, false) and message.content like '[{%'")
+    t = table(spark, folder, "transcript").where("session_id is not null and not coalesce(isSidechain, false)").where(F.col("message.content").rlike(transcripts.LISTED))
     b = t.select("session_id", "pos", F.explode(F.from_json("message.content", "array<struct<type:string,id:string,name:string,tool_use_id:string>>")).alias("b"))
     used = b.where("b.type = 'tool_use' and b.id is not null").select("session_id", F.col("b.id").alias("tool_id"), F.col("b.name").alias("tool")).distinct()
     results = b.where("b.type = 'tool_result' and b.tool_use_id is not null").groupBy("session_id", F.col("b.tool_use_id").alias("tool_id")).agg(F.max("pos").alias("result_pos"))

@@ -2,7 +2,8 @@
 
 `keep` writes a DataFrame as Parquet below the shared folder that the cluster names in `spark.checkpoint.dir` and reads
 it back. The files survive the loss of any executor, and what reads them plans from their real size. Where the setting
-is absent (tests on one machine) a temporary folder is used.
+is absent a temporary folder is used if all tasks run in this process; a cluster without the setting is an error, for its
+workers would write to disks that no other sees.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ _local: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that all executors share; a machine-local one only where the session names none."""
+    """The folder that all executors share; a machine-local one only where the master is local and the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all workers of {master} share")
     if "root" not in _local:
         _local["root"] = tempfile.mkdtemp(prefix="marl-")
         atexit.register(shutil.rmtree, _local["root"], ignore_errors=True)
