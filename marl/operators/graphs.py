@@ -19,6 +19,13 @@ def _to_least(pairs: DataFrame, larger_only: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
+def _is_stars(pairs: DataFrame) -> bool:
+    """Whether each `u` has one `v`, and no `v` is a `u`: then nothing is left to do."""
+    ends = pairs.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(pairs.select("v", F.lit(0), F.lit(1)))
+    counts = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return counts.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root) for every node of `edges`; root is the least node that links lead to.
 
@@ -27,20 +34,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     is spread by the join's skew handling and its minimum is taken before the shuffle.
     """
     now = keep(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "cc")
-    mark = None
     for _ in range(rounds):
+        if _is_stars(now):
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_least(both, True)
-        after = keep(_to_least(large, False), "cc")
-        seen = tuple(after.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first())
+        after = keep(_to_least(_to_least(both, True), False), "cc")
         drop(now)
         now = after
-        if seen == mark:
-            break
-        mark = seen
-    else:
-        raise RuntimeError("the components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    raise RuntimeError("the components did not settle")
 
 
 def settle(open_: DataFrame, edges: DataFrame) -> DataFrame:
