@@ -1,14 +1,14 @@
-"""Groups of statements that repeat one another with small edits: a size-aware heavy-light similarity join.
+"""Groups of statements that repeat one another with small edits: a size-aware heavy-light similarity join, exact.
 
-Light sets (few pieces) enumerate every fixed-size subset that a partner must share, which is exact. For heavy sets the
-number of such subsets explodes, and the plain inverted lists of their pieces hold a constant share of all rows each, so
-that scanning them costs the square of the table; what is scanned instead are the inverted lists of BANDS fixed-size
-subsets of each set, drawn in the same way from every set (its minwise values). The boundary between light and heavy is
-the size up to which enumeration costs no more rows than the sampled subsets do.
+Light sets (few pieces) enumerate every fixed-size subset that a light partner must share. Heavy sets scan inverted
+lists: pieces are ordered rarest first, a set is listed under the first of them only, as many as a partner cannot avoid,
+and two sets that meet in a list are compared by their sizes, their places in the order and their parity bitmaps, all of
+which reject without loss; the texts decide what remains. The boundary between light and heavy is the largest size at which
+enumeration costs less than scanning, by the lengths of the lists in the data and the measured cost of a row and of a comparison.
 
-Lists are light or heavy too. A light list (up to LIST_MAX sets) yields all its pairs. In a heavy one every set is
-compared with the list's least set first; sets of one component need no further comparison, and only sets of different
-components are paired, so a list of copies-with-edits of one lesson costs its length and no link is lost.
+Texts that are copies with edits of one another are joined to one of them first, by a few minwise bands of which each
+member is compared with the least only. Sets of one component need no comparison in any list, so a group of any share of the
+rows costs its length and not its square, and what the bands miss the lists find. Long lists are cut into blocks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,39 +27,77 @@ from marl.llm import sketch
 from marl.operators.graphs import components
 from marl.plans.scratch import drop, keep
 
-#: The length up to which a list yields all its pairs.
-LIST_MAX = 16
+#: Bands by which edited copies are joined before the lists are scanned.
+FIRST_BANDS = 20
+#: Frequencies are kept for this many classes of pieces; any order of the pieces is right, a rarer-first one is fast.
+CLASSES = 1 << 16
+#: Entries of a list that one task compares with as many others; pairs looked at in one step.
+BLOCK, _STEP = 4096, 1 << 20
+#: Entries gathered before they are compared, in whole lists.
+_GATHER = 1 << 17
+#: Measured nanoseconds of an enumerated row (hashed, shuffled, joined) and of a comparison in a list.
+ROW_NS, COMPARE_NS = 1500.0, 30.0
+_EPS = 1e-9
 
 
 def enumeration_rows(n: int, least: float = sketch.SIM_MIN) -> int:
     """Subsets that a set of `n` pieces enumerates to meet every partner no lighter: one size for each larger size."""
-    return sum(math.comb(n, c) for m in range(n, int(n / least) + 1) if (c := math.ceil(least * m - 1e-9)) <= n)
+    return sum(math.comb(n, c) for m in range(n, int(n / least) + 1) if (c := math.ceil(least * m - _EPS)) <= n)
 
 
-def light_boundary(budget: int = sketch.BANDS, least: float = sketch.SIM_MIN) -> int:
-    """The largest size whose enumeration costs no more rows than the sampled subsets of a heavy set."""
-    n = 1
-    while enumeration_rows(n + 1, least) <= budget:
+def scan_rows(n: int, counts: np.ndarray, least: float = sketch.SIM_MIN) -> float:
+    """About how many comparisons a set of `n` pieces costs in the lists, by the frequencies of pieces: the rarer pieces
+    make the lists, and a list holds the sets that have its piece among their first ones."""
+    c = np.sort(counts[counts > 0]).astype(float)
+    if not len(c):
+        return 0.0
+    share = 1 - least
+    rare = c[np.cumsum(c) <= max(share * c.sum(), c[0])]
+    mean = float((rare**2).sum() / max(rare.sum(), 1.0)) if len(rare) else float(c[0])
+    return (n - math.ceil(least * n - _EPS) + 1) * mean * share
+
+
+def light_boundary(counts: np.ndarray, least: float = sketch.SIM_MIN) -> int:
+    """The largest size whose enumeration costs less than its lists; 0 if none does."""
+    n = 0
+    while enumeration_rows(n + 1, least) * ROW_NS <= scan_rows(n + 1, counts, least) * COMPARE_NS:
         n += 1
     return n
 
 
-def subset_keys(forms: DataFrame, least: float = sketch.SIM_MIN) -> DataFrame:
-    """(key, rep) of the enumerated subsets of the light sets in `forms` (rep, form).
+def piece_counts(forms: DataFrame) -> np.ndarray:
+    """How many sets hold the pieces of each class: CLASSES numbers, whatever the table."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                h, _, _ = sketch.distinct_pieces(batch["form"].iloc[at : at + 1000].tolist())
+                total += np.bincount((h % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"class": held.astype(np.int32), "c": total[held]})
+
+    counts = np.zeros(CLASSES, np.int64)
+    for k, c in forms.select("form").mapInPandas(run, "class int, c bigint").groupBy("class").agg(F.sum("c")).collect():
+        counts[k] = c
+    return counts
+
+
+def subset_keys(forms: DataFrame, top: int, least: float = sketch.SIM_MIN) -> DataFrame:
+    """(key, rep) of the enumerated subsets of the sets of `top` pieces or fewer in `forms` (rep, form).
 
     Of a pair of sizes n <= m the share is at least `least * m`, so both enumerate subsets of that size under m.
     """
-    top = light_boundary(least=least)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, reps = [], []
             for rep, form in zip(batch["rep"], batch["form"]):
-                if len(form) > top + sketch.PIECE - 1 and len(mine := sketch.pieces(form)) > top:
+                if len(form) > top * sketch.PIECE and len(sketch.pieces(form)) > top:
                     continue
-                mine = np.sort(np.unique(sketch.piece_hashes([form])[0]))
-                for m in range(len(mine), min(top, int(len(mine) / least)) + 1):
-                    for chosen in combinations(mine, math.ceil(least * m - 1e-9)):
+                mine = np.unique(sketch.piece_hashes([form])[0])
+                for m in range(len(mine), min(top, int(len(mine) / least + _EPS)) + 1):
+                    for chosen in combinations(mine, math.ceil(least * m - _EPS)) if len(mine) <= top else ():
                         keys.append(hash((m, *map(int, chosen))))
                         reps.append(rep)
             yield pd.DataFrame({"key": np.array(keys, np.int64), "rep": np.array(reps, np.int64)})
@@ -66,64 +105,198 @@ def subset_keys(forms: DataFrame, least: float = sketch.SIM_MIN) -> DataFrame:
     return forms.select("rep", "form").mapInPandas(run, "key bigint, rep bigint")
 
 
-def listed(keys: DataFrame) -> DataFrame:
-    """The lists that hold two sets or more: (key, rep, held). Counted before the join, so that a list of any length is spread."""
-    held = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
-    return keys.join(held, "key")
+def starred(keys: DataFrame) -> DataFrame:
+    """(a, b), a < b: every set of a list of (key, rep) with the least of the list."""
+    first = keys.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("held")).where("held > 1").select("key", "a")
+    return keys.join(first, "key").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
 
 
-def list_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs a < b of the light lists, once each."""
-    light = lists.where(F.col("held") <= LIST_MAX).select("key", "rep")
-    return light.select("key", F.col("rep").alias("a")).join(light.select("key", F.col("rep").alias("b")), "key").where("a < b").select("a", "b").distinct()
+def verified(pairs: DataFrame, forms: DataFrame, least: float = sketch.SIM_MIN) -> DataFrame:
+    """The pairs (a, b) whose texts have a similarity of `least` or more."""
+    side = lambda c: forms.select(F.col("rep").alias(c), F.col("form").alias(f"{c}_form"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    return near.where(sketch.similarity("a_form", "b_form") >= least).select("a", "b")
 
 
-def verified(pairs: DataFrame, signs: DataFrame, forms: DataFrame, a: str = "a", b: str = "b", least: float = sketch.SIM_MIN) -> DataFrame:
-    """`pairs` of distinct columns a, b with `sim`, those of `least` or more: sketches reject, the texts decide."""
-    side = lambda c: signs.select(F.col("rep").alias(c), F.col("n").alias(f"{c}_n"), *[F.col(w).alias(f"{c}_{w}") for w in sketch.WORDS])
-    near = pairs.join(side(a), a).join(side(b), b).where(sketch.sizes_fit(f"{a}_n", f"{b}_n", least) & sketch.sketches_agree(f"{a}_", f"{b}_")).select(*pairs.columns)
-    near = near.join(forms.select(F.col("rep").alias(a), F.col("form").alias("form_a")), a).join(forms.select(F.col("rep").alias(b), F.col("form").alias("form_b")), b)
-    return near.withColumn("sim", sketch.similarity("form_a", "form_b")).where(F.col("sim") >= least).select(*pairs.columns, "sim")
+def list_entries(forms: DataFrame, counts: np.ndarray, top: int, least: float = sketch.SIM_MIN) -> DataFrame:
+    """(tile, other, rep, root, n, at, listed, words): the lists of each set of `forms` (rep, root, form), rarest pieces first.
 
+    A set of n pieces probes its first n - ceil(least n) + 1 pieces and is listed, for partners no smaller, under the
+    first n - ceil(2 least / (1 + least) n) + 1 of them. A list that may be longer than two blocks is cut by set; each
+    pair of blocks is a tile.
+    """
+    shared = forms.sparkSession.sparkContext.broadcast(counts)
+    words = ", ".join(f"{w} bigint" for w in sketch.WORDS)
 
-def _heavy_links(lists: DataFrame, signs: DataFrame, forms: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """Further links among the sets of heavy lists, such that their components are those of all pairs."""
-    heavy = lists.where(F.col("held") > LIST_MAX)
-    least_rep = heavy.groupBy("key").agg(F.min("rep").alias("a"))
-    star = heavy.join(least_rep, "key").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
-    links = keep(links.union(verified(star, signs, forms, least=least).select("a", "b")), "links")
-    roots = components(links)
-    parts = keep(heavy.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")), "parts")
-    by_root = parts.groupBy("key", "root").agg(F.count("*").alias("c"))
-    largest = by_root.groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("largest"), F.count("*").alias("roots")).where("roots > 1")
-    rest = parts.join(largest, "key").select("key", "rep", "root", "largest")
-    few = rest.where("root <> largest").select("key", F.col("rep").alias("x"), F.col("root").alias("x_root"))
-    pairs = few.join(rest.select("key", F.col("rep").alias("y"), F.col("root").alias("y_root")), "key").where("x_root <> y_root")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return links.union(verified(pairs, signs, forms, least=least).select("a", "b"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), 1000):
+                batch = whole.iloc[start : start + 1000]
+                h, owner, n = sketch.distinct_pieces(batch["form"].tolist())
+                bits = sketch.bitmaps(h, owner, len(n)).view(np.int64)
+                held = counts[(h % np.uint64(CLASSES)).astype(np.int64)]
+                order = np.lexsort((h, held, owner))
+                h, owner, held = h[order], owner[order], held[order]
+                at = np.arange(len(h)) - np.r_[0, np.cumsum(n)[:-1]][owner]
+                size = n[owner]
+                probes = (at <= size - np.ceil(least * size - _EPS)) & (size >= least * (top + 1))
+                h, owner, held, at, size = h[probes], owner[probes], held[probes], at[probes], size[probes]
+                listed = at <= size - np.ceil(2 * least / (1 + least) * size - _EPS)
+                parts = np.maximum(1, -(-held // (2 * BLOCK)))
+                reps = batch["rep"].to_numpy(np.int64)
+                mine = sketch._mix(reps.view(np.uint64))[owner] % parts.astype(np.uint64)
+                each = np.repeat(np.arange(len(h)), parts)
+                turn = (np.arange(len(each)) - np.repeat(np.cumsum(parts) - parts, parts)).astype(np.uint64)
+                low, high = np.minimum(mine[each], turn), np.maximum(mine[each], turn)
+                tile = sketch._mix(h[each] + sketch._mix(low * np.uint64(1 << 32) + high) * (parts[each] > 1)).view(np.int64)
+                o = owner[each]
+                yield pd.DataFrame({"tile": tile, "other": mine[each] != low, "rep": reps[o], "root": batch["root"].to_numpy(np.int64)[o], "n": size[each].astype(np.int32), "at": at[each].astype(np.int32), "listed": listed[each], **{w: bits[o, i] for i, w in enumerate(sketch.WORDS)}})
+
+    return forms.select("rep", "root", "form").mapInPandas(run, f"tile bigint, other boolean, rep bigint, root bigint, n int, at int, listed boolean, {words}")
+
+
+class _Lists:
+    """Whole lists, laid out for comparison: sorted by list and size."""
+
+    def __init__(self, table: pa.Table, top: int, least: float):
+        of = lambda c: table.column(c).to_numpy()
+        self.top, self.least = top, least
+        _, group = np.unique(of("tile"), return_inverse=True)
+        order = np.lexsort((of("rep"), of("n"), group))
+        self.group, self.n, self.at, self.rep, self.root = group[order], of("n")[order].astype(np.int64), of("at")[order].astype(np.int64), of("rep")[order], of("root")[order]
+        self.listed, self.other = of("listed").astype(bool)[order], of("other").astype(bool)[order]
+        self.bits = np.stack([of(w) for w in sketch.WORDS], axis=1)[order].view(np.uint64)
+        both = np.bincount(group, weights=of("other").astype(float)) > 0
+        self.across = both[self.group]
+        self.major = self._largest()
+
+    def _largest(self) -> np.ndarray:
+        """Whether an entry belongs to the largest component of its list, of two entries or more."""
+        order = np.lexsort((self.root, self.group))
+        g, r = self.group[order], self.root[order]
+        heads = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (r[1:] != r[:-1])])
+        count = np.diff(np.r_[heads, len(g)])
+        best = np.zeros(int(g[-1]) + 1, np.int64)
+        np.maximum.at(best, g[heads], count)
+        wins = (count == best[g[heads]]) & (count > 1)
+        first = np.full(len(best), len(heads))
+        np.minimum.at(first, g[heads][wins], np.flatnonzero(wins))
+        major = np.zeros(len(g), bool)
+        major[order] = np.repeat(first[g[heads]] == np.arange(len(heads)), count)
+        return major
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(smaller, larger) entries that may reach the threshold, of different components. Pairs within the largest component of a list are never formed."""
+        minor = np.flatnonzero(~self.major)
+        listed_minor, listed_major = minor[self.listed[minor]], np.flatnonzero(self.major & self.listed)
+        yield from self._ranges(minor, listed_minor, True)
+        yield from self._ranges(minor, listed_major, True)
+        yield from self._ranges(listed_minor, np.flatnonzero(self.major), False)
+
+    def _ranges(self, asks: np.ndarray, held: np.ndarray, down: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each of `asks` with those of `held` that come before it in order of size (down), or after it, within the sizes that can reach the threshold."""
+        if not len(asks) or not len(held):
+            return
+        wide = np.int64(self.n.max()) + 2
+        key = self.group[held] * wide + self.n[held]
+        if down:
+            lo = np.searchsorted(key, self.group[asks] * wide + np.ceil(self.least * self.n[asks] - _EPS).astype(np.int64), "left")
+            hi = np.searchsorted(held, asks, "left")
+        else:
+            most = np.minimum(np.floor(self.n[asks] / self.least + _EPS).astype(np.int64), wide - 1)
+            lo, hi = np.searchsorted(held, asks, "right"), np.searchsorted(key, self.group[asks] * wide + most, "right")
+        many = np.maximum(hi - lo, 0)
+        ends = np.cumsum(many)
+        start = 0
+        while start < len(asks):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _STEP, "right")))
+            part = many[start:stop]
+            for shift in range(0, int(part.max(initial=0)) if stop == start + 1 else 1, _STEP):
+                take = np.minimum(part - shift, _STEP) if stop == start + 1 else part
+                q = np.repeat(np.arange(start, stop), take)
+                j = np.arange(len(q)) - np.repeat(np.cumsum(take) - take, take) + lo[q] + shift
+                small, large = (held[j], asks[q]) if down else (asks[q], held[j])
+                yield from self._close(small, large)
+            start = stop
+
+    def _close(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sizes = self.n[a] + self.n[b]
+        share = np.ceil(self.least / (1 + self.least) * sizes - _EPS)
+        good = (self.root[a] != self.root[b]) & (self.n[b] > self.top) & (np.minimum(self.n[a] - self.at[a], self.n[b] - self.at[b]) >= share)
+        good &= ~self.across[a] | (self.other[a] != self.other[b])
+        a, b, sizes = a[good], b[good], sizes[good]
+        differ = np.zeros(len(a), np.int64)
+        for w in range(self.bits.shape[1]):
+            differ += np.bitwise_count(self.bits[a, w] ^ self.bits[b, w])
+        near = differ <= sketch.room(sizes, self.least)
+        if near.any():
+            yield a[near], b[near]
+
+
+def scanned(entries: DataFrame, top: int, least: float = sketch.SIM_MIN) -> DataFrame:
+    """(a, b), a < b, of the sets that meet in a list and may reach the threshold; at least one of a pair is heavy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table) -> pa.RecordBatch:
+            lists = _Lists(table, top, least)
+            pairs = [np.stack([lists.rep[a], lists.rep[b]], axis=1) for a, b in lists.pairs()]
+            both = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0) if pairs else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tiles = batch.column(0).to_numpy()
+            # What is held ends with an unfinished list: it is compared once a new list begins in this batch.
+            new = np.flatnonzero(tiles[1:] != tiles[:-1]) + 1
+            starts = held and held[-1].column(0)[-1].as_py() != tiles[0]
+            cut = 0 if starts else int(new[-1]) if len(new) else None
+            if sum(b.num_rows for b in held) + batch.num_rows >= _GATHER and cut is not None:
+                head = [*held, batch.slice(0, cut)] if cut else held
+                yield found(pa.Table.from_batches(head))
+                held, batch = [], batch.slice(cut)
+            held.append(batch)
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return entries.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint")
+
+
+def near_links(forms: DataFrame, least: float = sketch.SIM_MIN, boundary: int | None = None) -> DataFrame:
+    """(a, b) of near texts of `forms` (rep bigint, form; one row a form) such that their components are those of all near pairs."""
+    counts = piece_counts(forms)
+    top = light_boundary(counts, least) if boundary is None else boundary
+    bands = sketch.banded(forms, bands=FIRST_BANDS).select(F.explode("bands").alias("key"), "rep")
+    first = keep(verified(starred(bands), forms, least), "links")
+    roots = components(first).withColumnRenamed("node", "rep")
+    rooted = keep(forms.join(roots, "rep", "left").select("rep", "form", F.coalesce("root", "rep").alias("root")), "rooted")
+    pairs = scanned(list_entries(rooted, counts, top, least), top, least)
+    if top:
+        light = subset_keys(forms, top, least)
+        side = lambda c: light.join(rooted.select("rep", "root"), "rep").select("key", F.col("rep").alias(c), F.col("root").alias(f"r{c}"))
+        pairs = pairs.union(side("a").join(side("b"), "key").where("a < b and ra <> rb").select("a", "b"))
+    links = keep(first.union(verified(pairs.distinct(), forms, least)), "links")
+    drop(first, rooted)
+    return links
 
 
-def near_duplicate_groups(df: DataFrame, key: str, text: str, least: float = sketch.SIM_MIN, entropy_min: float = sketch.ENTROPY_MIN) -> DataFrame:
+def near_duplicate_groups(df: DataFrame, key: str, text: str, least: float = sketch.SIM_MIN, entropy_min: float = sketch.ENTROPY_MIN, boundary: int | None = None) -> DataFrame:
     """(group_id, `key`) for each row of a group other than its least key.
 
     Rows with a null text or a form of an entropy below `entropy_min` (empty and blank ones included) take no part.
     Rows of one form are copies: their form is compared once. Repeated rows of one key count as one. An empty table
     gives no rows. Texts of any length are taken whole. Columns besides `key` and `text` are ignored, whatever their
-    names. `key` is a bigint without nulls; rows with a null key take no part.
+    names. `key` is a bigint without nulls; rows with a null key take no part. `boundary` sets the size up to which sets are light.
     """
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).where("id is not null")
     member = keep(sketch.forms(rows, "text", entropy_min).select("id", "form", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(7), "form").alias("h2")), "member")
     forms = keep(member.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("form").alias("form")), "forms")
-    signs = keep(sketch.signed(forms), "signs")
-    top = light_boundary(least=least)
-    sampled = signs.where(F.col("n") >= least * top).select(F.explode("bands").alias("key"), "rep")
-    lists = keep(listed(sampled.union(subset_keys(forms, least))), "lists")
-    links = keep(verified(list_pairs(lists), signs, forms, least=least).select("a", "b"), "links")
-    if not lists.where(F.col("held") > LIST_MAX).isEmpty():
-        links = keep(_heavy_links(lists, signs, forms, links, least), "links")
+    links = near_links(forms, least, boundary)
     roots = components(links)
     copies = member.select("id", "h1", "h2").join(forms.select("h1", "h2", "rep"), ["h1", "h2"])
     out = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(F.coalesce("root", "rep").alias("group_id"), "id")
     out = keep(out.where("group_id <> id").distinct(), "groups")
-    drop(member, forms, signs, lists, links)
+    drop(member, forms, links)
     return out.select("group_id", F.col("id").alias(key))

@@ -1,4 +1,4 @@
-"""Statement forms, their pieces, and minwise signatures of them.
+"""Statement forms, their pieces, minwise band keys and parity bitmaps of them.
 
 The normalised form of a text is its case-folded text with every run of characters that are neither letter nor digit
 turned into one space. Its pieces are the distinct substrings of four characters (the whole form where it is shorter),
@@ -22,12 +22,11 @@ from pyspark.sql.types import DoubleType
 PIECE = 4
 SIM_MIN = 0.55
 ENTROPY_MIN = 3.0
-#: A band is ROWS minwise values. At a similarity of 0.55 one of BANDS bands agrees with a probability of 0.994, at 0.6
-#: of 0.9997; unrelated statements (0.04 on average) meet in one pair of 200,000.
-ROWS, BANDS = 5, 100
-SKETCH_BITS = 256
-#: Two sketches of a pair at 0.55 agree in 198 of 256 bits on average, with a deviation of 6.7: five of them below.
-SKETCH_AGREE = 165
+#: A band is ROWS minwise values. At a similarity of 0.55 one of BANDS bands agrees with a probability of 0.9995, at 0.6
+#: of 0.99998; unrelated statements (0.04 on average) meet in one pair of 5,000.
+ROWS, BANDS = 4, 80
+#: Bits of a parity bitmap. Two sets that differ in d pieces have bitmaps that differ in d bits at most.
+BITS = 256
 #: Cells of the (pieces x functions) matrix worked on at once, so that a text of any length needs constant memory.
 _BLOCK = 4096
 _RUN = re.compile(r"[\W_]+")
@@ -99,63 +98,65 @@ def piece_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h[inside]), owner[: len(h)][inside]
 
 
-def minwise(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Minwise values (texts x functions) and the number of distinct pieces of each text."""
+def minwise(texts: list[str], functions: int = ROWS * BANDS) -> np.ndarray:
+    """Minwise values, texts x functions."""
     h, owner = piece_hashes(texts)
-    low = np.full((len(texts), ROWS * BANDS), np.iinfo(np.uint32).max, np.uint32)
+    low = np.full((len(texts), functions), np.iinfo(np.uint32).max, np.uint32)
     short = (h >> np.uint64(32)).astype(np.uint32)
     for start in range(0, len(h), _BLOCK):
         part, own = short[start : start + _BLOCK], owner[start : start + _BLOCK]
         heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        values = part[:, None] ^ _FLIP
-        values *= _TIMES
+        values = part[:, None] ^ _FLIP[:functions]
+        values *= _TIMES[:functions]
         at = own[heads]
         low[at] = np.minimum(low[at], np.minimum.reduceat(values, heads, axis=0))
-    order = np.lexsort((h, owner))
-    hs, os = h[order], owner[order]
-    new = np.r_[True, (hs[1:] != hs[:-1]) | (os[1:] != os[:-1])] if len(hs) else np.zeros(0, bool)
-    return low, np.bincount(os[new], minlength=len(texts))
+    return low
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
-    rows = low.reshape(len(low), BANDS, ROWS).astype(np.uint64)
-    return _mix((rows * _JOIN).sum(axis=2, dtype=np.uint64) + _SALT).view(np.int64)
+    bands = low.shape[1] // ROWS
+    rows = low.reshape(len(low), bands, ROWS).astype(np.uint64)
+    return _mix((rows * _JOIN).sum(axis=2, dtype=np.uint64) + _SALT[:bands]).view(np.int64)
+
+
+WORDS = [f"w{i}" for i in range(BITS // 64)]
 
 
-def bit_sketch(low: np.ndarray) -> np.ndarray:
-    """One bit of each of the first SKETCH_BITS values, as 64-bit words."""
-    bits = ((low[:, :SKETCH_BITS] >> np.uint32(5)) & np.uint32(1)).astype(np.uint8)
-    return np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.int64)
+def distinct_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, owners, sizes) of the distinct pieces of each text, sorted by owner and hash."""
+    h, owner = piece_hashes(texts)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    if len(h):
+        new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])]
+        h, owner = h[new], owner[new]
+    return h, owner, np.bincount(owner, minlength=len(texts))
+
 
+def bitmaps(h: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """Parity bitmaps (texts x words): each piece flips the bit that its hash names."""
+    bits = np.zeros((count, len(WORDS)), np.uint64)
+    place = h % np.uint64(BITS)
+    np.bitwise_xor.at(bits, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+    return bits
 
-WORDS = [f"w{i}" for i in range(SKETCH_BITS // 64)]
 
+def room(sizes: np.ndarray, least: float) -> np.ndarray:
+    """The largest number of pieces in which two sets of these sizes in all may differ at a similarity of `least`."""
+    return np.floor((1 - least) / (1 + least) * sizes + 1e-9).astype(np.int64)
 
-def signed(df: DataFrame, key: str = "rep", form: str = "form") -> DataFrame:
-    """For each row: its key, number of pieces `n`, band keys `bands` and the words of its bit sketch."""
+
+def banded(df: DataFrame, key: str = "rep", form: str = "form", bands: int = BANDS) -> DataFrame:
+    """(`key`, bands): the first `bands` band keys of each row's form."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
-                low, n = minwise(part[form].tolist())
-                words = bit_sketch(low)
-                yield pd.DataFrame({key: part[key].to_numpy(), "n": n, "bands": list(band_keys(low)), **{w: words[:, i] for i, w in enumerate(WORDS)}})
-
-    schema = f"{key} {kind}, n int, bands array<bigint>, " + ", ".join(f"{w} bigint" for w in WORDS)
-    return df.select(key, form).mapInPandas(run, schema)
-
-
-def sketches_agree(a: str, b: str, agree: int = SKETCH_AGREE):
-    """Whether the sketches in the columns `{a}w0..` and `{b}w0..` leave room for SIM_MIN."""
-    differ = sum(F.bit_count(F.col(f"{a}{w}").bitwiseXOR(F.col(f"{b}{w}"))) for w in WORDS)
-    return differ <= SKETCH_BITS - agree
-
+                yield pd.DataFrame({key: part[key].to_numpy(), "bands": list(band_keys(minwise(part[form].tolist(), bands * ROWS)))})
 
-def sizes_fit(a: str, b: str, least: float = SIM_MIN):
-    """Sets whose sizes differ by more than the threshold cannot reach it."""
-    return (F.col(a) >= least * F.col(b)) & (F.col(b) >= least * F.col(a))
+    return df.select(key, form).mapInPandas(run, f"{key} {kind}, bands array<bigint>")
 
 
 @pandas_udf(DoubleType())
