@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -62,6 +63,30 @@ def rate_limited(text: str) -> bool:
     return any(m in text.lower() for m in RATE_MARKS)
 
 
+def patient(completer: Completer, retries: int = 2, rate_retries: int = 6, backoff: float = 2.0, longest: float = 60.0, sleep: Callable[[float], None] = time.sleep) -> Completer:
+    """`completer` with a second chance: a refusal for its rate waits twice as long each time, up to `longest` seconds and
+    `rate_retries` times; any other error is tried `retries` times more, the wait growing by `backoff`."""
+
+    def call(system: str, prompt: str) -> Completion:
+        plain = slow = 0
+        while True:
+            try:
+                return completer(system, prompt)
+            except Exception as e:
+                if rate_limited(str(e)):
+                    if slow >= rate_retries:
+                        raise
+                    sleep(min(longest, backoff * 2**slow))
+                    slow += 1
+                else:
+                    if plain >= retries:
+                        raise
+                    plain += 1
+                    sleep(backoff * plain)
+
+    return call
+
+
 def complete(df: DataFrame, key: str, system: str, prompt: str, completer: Completer, tasks: int = 4) -> DataFrame:
     """(key, answer, cost_usd, error): a call for each row, at most `tasks` at once; an error stays with its row."""
     kind = df.schema[key].dataType.simpleString()

@@ -6,6 +6,7 @@ import hashlib
 import math
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,13 +53,24 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)), F.lit(0.0))
 
 
+@pandas_udf(DoubleType())
+def character_entropy(form: pd.Series) -> pd.Series:
+    """Shannon entropy in bits of the characters of a form; 0 for an empty form, null for null. All texts of a batch are counted in one sort."""
+    known = form.notna().to_numpy()
+    out = np.full(len(form), np.nan)
+    texts = form[known].tolist()
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    cells, counts = np.unique(np.repeat(np.arange(len(texts)), lengths) << 21 | codes, return_counts=True)
+    owner = cells >> 21
+    share = counts / lengths[owner] if len(owner) else np.zeros(0)
+    out[known] = np.bincount(owner, weights=-share * np.log2(share), minlength=len(texts)) if len(owner) else 0.0
+    return pd.Series(out).astype("Float64").where(pd.Series(known), None)
+
+
 def entropy(form: Column) -> Column:
-    """Shannon entropy in bits of the characters of a form; 0 for an empty form, null for null."""
-    chars = F.split(form, "")
-    n = F.length(form)
-    share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / n
-    terms = F.transform(F.array_distinct(chars), lambda c: -share(c) * F.log2(share(c)))
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x))
+    """As `character_entropy`, by name of what it measures."""
+    return character_entropy(form)
 
 
 def band(sim: Column) -> Column:

@@ -33,8 +33,8 @@ def _pieces(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (both // (ids.max() + 1), both % (ids.max() + 1)) if len(both) else (both, both)
 
 
-def tile(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
-    """Counts by band of the pairs of two lots of statements (form, origin, sure), or of one lot with itself."""
+def _blocks(left: pd.DataFrame, right: pd.DataFrame | None):
+    """(rows, sim, counts): similarities of some rows of `left` with all of `right`, or of `left` itself, and which of them are pairs to count."""
     n = len(left)
     both = left if right is None else pd.concat([left, right], ignore_index=True)
     first = 0 if right is None else n
@@ -46,8 +46,6 @@ def tile(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
     order = np.argsort(piece[mine], kind="stable")
     held = (owner[mine] - first)[order]
     ends = np.searchsorted(piece[mine][order], np.arange((piece.max() if len(piece) else 0) + 2))
-    origin, sure = pd.factorize(both["origin"])[0], both["sure"].to_numpy(bool)
-    out = np.zeros((len(BANDS), 3), np.int64)
     for start in range(0, n, _ROWS):
         rows = np.arange(start, min(start + _ROWS, n))
         shared = np.zeros((len(rows), m), np.int64)
@@ -56,10 +54,20 @@ def tile(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
             if lists:
                 shared[r] = np.bincount(np.concatenate(lists), minlength=m)
         sim = shared / np.maximum(size[rows][:, None] + size[first:][None, :] - shared, 1)
+        yield rows, sim, np.ones(sim.shape, bool) if right is not None else np.arange(m)[None, :] > rows[:, None]
+
+
+def tile(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
+    """Counts by band of the pairs of two lots of statements (form, origin, sure), or of one lot with itself."""
+    n = len(left)
+    both = left if right is None else pd.concat([left, right], ignore_index=True)
+    first = 0 if right is None else n
+    origin, sure = pd.factorize(both["origin"])[0], both["sure"].to_numpy(bool)
+    out = np.zeros((len(BANDS), 3), np.int64)
+    for rows, sim, counts in _blocks(left, right):
         band = (sim >= text.J_MAYBE).astype(np.int8) + (sim >= text.J_HIGH) + (sim >= text.J_CROSS)
         same = (origin[rows][:, None] == origin[first:][None, :]) & (origin[rows] >= 0)[:, None]
         asked = ((band == 1) | ((band == 2) & ~same)) & sure[rows][:, None] & sure[first:][None, :]
-        counts = np.ones_like(same) if right is not None else np.arange(m)[None, :] > rows[:, None]
         for k in range(len(BANDS)):
             here = (band == k) & counts
             s = int((here & same).sum())
@@ -67,6 +75,43 @@ def tile(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
     return pd.DataFrame({"band": BANDS, "same": out[:, 0], "other": out[:, 1], "asked": out[:, 2]})
 
 
+def _tiled(rows: DataFrame, lots: int) -> DataFrame:
+    """`rows` with `lot`, in every tile (x, y) of two lots that they belong to."""
+    rows = rows.withColumn("lot", F.expr(f"pmod(xxhash64(key), {lots})"))
+    tiles = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))).withColumn("x", F.least("lot", "o")).withColumn("y", F.greatest("lot", "o")).drop("o")
+    return tiles.repartition(min(lots * (lots + 1) // 2, 2000), "x", "y")
+
+
+def _lots(pair: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame | None]:
+    x, y = map(int, pair)
+    return rows[rows["lot"] == x].reset_index(drop=True), None if x == y else rows[rows["lot"] == y].reset_index(drop=True)
+
+
+def pairs_between(df: DataFrame, key: str, words: str, low: float, high: float, side: int = SIDE) -> DataFrame:
+    """(a, b, sim), a < b: all pairs of statements of a similarity of `low` or more and below `high`, both of an entropy of H_MIN or more.
+
+    Every pair is compared, in tiles as in `band_counts`, and only those in the range leave a task. Rows with a null key
+    or text take no part; of several rows of one key the one of the least form counts. `key` is a string or a bigint.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    form = text.normalize(F.col(words))
+    rows = df.where(F.col(key).isNotNull() & F.col(words).isNotNull()).select(F.col(key).alias("key"), form.alias("form")).groupBy("key").agg(F.min("form").alias("form"))
+    rows = keep(rows.where(text.entropy(F.col("form")) >= text.H_MIN), "forms")
+    lots = max(1, -(-rows.count() // side))
+
+    def work(pair: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        left, right = _lots(pair, part)
+        other = left if right is None else right
+        out = []
+        for at, sim, counts in _blocks(left, right):
+            i, j = np.nonzero((sim >= low) & (sim < high) & counts)
+            out.append(pd.DataFrame({"a": left["key"].to_numpy()[at[i]], "b": other["key"].to_numpy()[j], "sim": sim[i, j]}))
+        return pd.concat(out) if out else pd.DataFrame({"a": left["key"][:0], "b": left["key"][:0], "sim": np.zeros(0)})
+
+    found = _tiled(rows, lots).groupBy("x", "y").applyInPandas(work, f"a {kind}, b {kind}, sim double")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim")
+
+
 def band_counts(df: DataFrame, key: str, words: str, origin: str, side: int = SIDE) -> DataFrame:
     """(band, same, other, asked) for the four bands: pairs of statements by similarity, split by one `origin` or two.
 
@@ -79,15 +124,10 @@ def band_counts(df: DataFrame, key: str, words: str, origin: str, side: int = SI
     rows = df.where(F.col(key).isNotNull() & F.col(words).isNotNull()).select(key, origin, form.alias("form")).distinct()
     rows = keep(rows.select(F.col(key).alias("key"), F.col(origin).alias("origin"), "form", (text.entropy(F.col("form")) >= text.H_MIN).alias("sure")), "forms")
     lots = max(1, -(-rows.count() // side))
-    rows = rows.withColumn("lot", F.expr(f"pmod(xxhash64(key), {lots})"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(lots - 1)))
-    tiles = rows.select("*", other.alias("o")).select("origin", "form", "sure", "lot", F.least("lot", "o").alias("x"), F.greatest("lot", "o").alias("y"))
-    tiles = tiles.repartition(min(lots * (lots + 1) // 2, 2000), "x", "y")
 
-    def work(pair: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = map(int, pair)
-        return tile(rows[rows["lot"] == x].reset_index(drop=True), None if x == y else rows[rows["lot"] == y].reset_index(drop=True))
+    def work(pair: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        return tile(*_lots(pair, part))
 
-    found = tiles.groupBy("x", "y").applyInPandas(work, "band string, same bigint, other bigint, asked bigint")
+    found = _tiled(rows, lots).groupBy("x", "y").applyInPandas(work, "band string, same bigint, other bigint, asked bigint")
     none = df.sparkSession.createDataFrame([(b, 0, 0, 0) for b in BANDS], found.schema)
     return found.union(none).groupBy("band").agg(*[F.sum(c).alias(c) for c in ("same", "other", "asked")])

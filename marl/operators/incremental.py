@@ -1,47 +1,100 @@
 """Processing only what is new or changed, with the target as the state.
 
-A target is a folder of versions. Every output row stores its source key, its version and its place in the source's
-order; what has been handled is read from there and nowhere else. A run writes its rows beside the target and publishes
-them by one rename: a run that fails before it leaves no trace, and one that is repeated after it finds its rows there.
+A target is a folder of data and of manifests, one a version. Every output row stores its source key, its version and its place
+in the source's order; what has been handled is read from there and nowhere else. A run writes its rows into a folder of
+their own, and publishes them by creating the manifest of the next version, which succeeds once: a run that fails before it
+leaves no trace that a reader sees, one that is repeated after it finds its rows there, and of two that race one is refused.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marl.plans.scratch import delete, exists, keep, rename
+from marl.plans.scratch import create_once, delete, keep, listed, read_bytes
+
+#: Versions after which a run writes the last row of each key anew, so that reading the state does not grow with age.
+SNAPSHOT = 16
 
 
 class Target:
-    """The published versions below `path`. `schema` is that of a row: key columns, `version`, `place` and what else a row carries."""
+    """The published versions below `path`. `schema` is that of a row: key columns, `version`, `place` and what else a row carries.
+
+    A manifest names the data folders of all versions up to its own, and the last snapshot with the folders since.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path, schema
 
+    def _versions(self) -> list[int]:
+        return sorted(int(n) for n in listed(self.spark, f"{self.path}/manifest") if n.isdigit())
+
     def latest(self) -> int:
         """The number of the last published version; 0 for none."""
-        n = 0
-        while exists(self.spark, f"{self.path}/v={n + 1}"):
-            n += 1
-        return n
+        return max(self._versions(), default=0)
 
-    def rows(self, upto: int | None = None) -> DataFrame:
-        """All rows as of a version, the last by default."""
-        paths = [f"{self.path}/v={i}" for i in range(1, (self.latest() if upto is None else upto) + 1)]
+    def manifest(self, version: int) -> dict:
+        return json.loads(read_bytes(self.spark, f"{self.path}/manifest/{version:012d}")) if version else {"data": [], "snapshot": None, "since": []}
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        paths = [f"{self.path}/data/{f}" for f in folders]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
-    def publish(self, rows: DataFrame, after: int) -> int:
-        """Add `rows` as the version that follows `after`; raises if another run has published that one already."""
-        staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
-        rows.write.parquet(staged)
-        if not rename(self.spark, staged, f"{self.path}/v={after + 1}"):
-            delete(self.spark, staged)
+    def rows(self, upto: int | None = None) -> DataFrame:
+        """All rows as of a version, the last by default."""
+        return self._read(self.manifest(self.latest() if upto is None else upto)["data"])
+
+    def state(self, upto: int) -> DataFrame:
+        """Rows as of a version that hold the last one of every key: the last snapshot and what came since."""
+        m = self.manifest(upto)
+        return self._read([*([m["snapshot"]] if m["snapshot"] else []), *m["since"]])
+
+    def _write(self, rows: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        rows.write.parquet(f"{self.path}/data/{name}")
+        return name
+
+    def publish(self, rows: DataFrame, after: int, keys: list[str] = ()) -> int:
+        """Add `rows` as the version that follows `after`; raises if another run has published that one already. With `keys` a snapshot is written every SNAPSHOT versions."""
+        before = self.manifest(after)
+        mine = [self._write(rows)]
+        now = {"data": [*before["data"], mine[0]], "snapshot": before["snapshot"], "since": [*before["since"], mine[0]]}
+        if keys and len(now["since"]) >= SNAPSHOT:
+            held = self._read([*([now["snapshot"]] if now["snapshot"] else []), *now["since"]])
+            last = held.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in self.schema.fieldNames() if c not in keys]), "place").alias("r"))
+            mine.append(self._write(last.select(*keys, "r.*").select(*self.schema.fieldNames())))
+            now |= {"snapshot": mine[1], "since": []}
+        if not create_once(self.spark, f"{self.path}/manifest/{after + 1:012d}", json.dumps(now).encode()):
+            for name in mine:
+                delete(self.spark, f"{self.path}/data/{name}")
             raise RuntimeError(f"version {after + 1} of {self.path} was published by another run")
         return after + 1
 
+    def sweep(self, hours: float = 24.0) -> list[str]:
+        """Delete the data folders that no manifest names and that are older than `hours`: what failed runs left; their names."""
+        named: set[str] = set()
+        for v in self._versions():
+            m = self.manifest(v)
+            named.update(m["data"], [m["snapshot"]] if m["snapshot"] else [])
+        old = time.time() - hours * 3600
+        gone = [n for n, at in listed(self.spark, f"{self.path}/data").items() if n not in named and at / 1000 <= old]
+        for n in gone:
+            delete(self.spark, f"{self.path}/data/{n}")
+        return gone
+
+
+def late(source: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `source` that come too late: their key's state is at a later place and the target holds no row of their place."""
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys]
+    done = state.groupBy(*keys).agg(F.max("place").alias("done"))
+    behind = source.alias("s").join(done.alias("k"), same).where("s.place < done").select("s.*")
+    held = state.select(*keys, "place").distinct()
+    return behind.alias("s").join(held.alias("k"), [*same, F.col("s.place") == F.col("k.place")], "left_anti")
+
 
 def changes(source: DataFrame, state: DataFrame, keys: list[str], spread: str) -> DataFrame:
     """Rows of `source` that are new or changed, given the last version and place of each key in `state`.
@@ -72,8 +125,8 @@ def process_new(target: Target, source: DataFrame, keys: list[str], spread: str)
     `source` has the target's columns and `spread`. An empty source publishes an empty version.
     """
     at = target.latest()
-    fresh = changes(source, target.rows(at), keys, spread)
-    return target.publish(fresh.select(*target.schema.fieldNames()), at)
+    fresh = changes(source, target.state(at), keys, spread)
+    return target.publish(fresh.select(*target.schema.fieldNames()), at, keys)
 
 
 def handled_entries(plans: DataFrame, reports: DataFrame, stage: str = "tap") -> DataFrame:

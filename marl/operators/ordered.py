@@ -25,6 +25,18 @@ def with_previous(df: DataFrame, keys: list[str], order: Column, spread: str, va
     return out.withColumn(name, F.coalesce("_before", "_earlier")["v"]).drop("_value", "_order", "_before", "_earlier")
 
 
+def with_last(df: DataFrame, keys: list[str], order: Column, spread: str, value: Column, name: str = "last") -> DataFrame:
+    """`df` with the last `value` that is not null among the rows before this one in its key; null where there is none. `order` must be unique in a key."""
+    rows = df.withColumn("_value", value).withColumn("_order", order)
+    before = Window.partitionBy(*keys, spread).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_before", F.last("_value", ignorenulls=True).over(before))
+    ends = rows.groupBy(*keys, spread).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_order"))).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy(spread).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_earlier", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+    out = rows.alias("r").join(ends.alias("e"), _same(keys, spread, "r", "e"), "left").select("r.*", "e._earlier")
+    return out.withColumn(name, F.coalesce("_before", "_earlier")).drop("_value", "_order", "_before", "_earlier")
+
+
 def running_total(df: DataFrame, keys: list[str], order: Column, spread: str, value: Column, name: str = "total") -> DataFrame:
     """`df` with the sum of `value` over the rows of its key up to and with this one; null values count 0."""
     rows = df.withColumn("_v", F.coalesce(value, F.lit(0))).withColumn("_order", order)

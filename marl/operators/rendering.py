@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from marl.functions.text import strip_region, valid_span
 
@@ -11,13 +15,17 @@ BUDGET = 12_000
 START, END = "<!-- generated START", "<!-- generated END -->"
 
 
+@pandas_udf(ArrayType(LongType()))
+def starts_of(sizes: pd.Series, joint: pd.Series) -> pd.Series:
+    """Where each part begins, given the sizes of parts that are joined by `joint`; linear in their number."""
+    return pd.Series([None if s is None else np.cumsum([0, *(np.asarray(s, np.int64) + j)])[:-1] for s, j in zip(sizes, joint)])
+
+
 def laid_out(parts: Column, joint: int = 2) -> Column:
-    """array<struct<start, end, index>> of character places of parts that are joined by `joint` characters."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,index:int>>").alias("out"))
-    def step(acc, part):
-        span = F.struct(acc["at"].alias("start"), (acc["at"] + F.length(part)).alias("end"), F.size(acc["out"]).alias("index"))
-        return F.struct((acc["at"] + F.length(part) + joint).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-    return F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    """array<struct<start, end, index>> of character places of parts that are joined by `joint` characters. Only sizes go through Python."""
+    starts = starts_of(F.transform(parts, lambda p: F.length(p)), F.lit(joint))
+    place = lambda s, i: F.struct(s.cast("int").alias("start"), (s + F.length(F.get(parts, i))).cast("int").alias("end"), i.cast("int").alias("index"))
+    return F.transform(starts, place)
 
 
 def document_turns(df: DataFrame, key: str, text: str, title: str) -> DataFrame:
@@ -31,25 +39,43 @@ def document_turns(df: DataFrame, key: str, text: str, title: str) -> DataFrame:
     return df.select(key, parts.alias("_parts")).select(key, F.array_join("_parts", "\n\n").alias("text"), laid_out(F.col("_parts")).alias("turns"))
 
 
+def windows_of(turns: list[tuple[int | None, int]], budget: int) -> list[tuple[int, int]]:
+    """(first, count) of windows over (segment, size) of turns: one ends before a turn of another segment, of none, or without room."""
+    out, used, last = [], 0, object()
+    for i, (segment, size) in enumerate(turns):
+        if out and segment is not None and segment == last and used + size <= budget:
+            out[-1][1] += 1
+            used += size
+        else:
+            out.append([i, 1])
+            used = size
+        last = segment
+    return [(a, n) for a, n in out]
+
+
+@pandas_udf(ArrayType(StructType([StructField("first", IntegerType()), StructField("n", IntegerType())])))
+def _windows(turns: pd.Series, budget: pd.Series) -> pd.Series:
+    of = lambda t: [{"first": a, "n": n} for a, n in windows_of([(x["segment"], x["size"]) for x in t], b)]
+    out = []
+    for t, b in zip(turns, budget):
+        out.append(None if t is None else of(t))
+    return pd.Series(out)
+
+
 def packed(turns: Column, budget: int = BUDGET) -> Column:
     """array<struct<turn_start, turn_end, char_start, char_end, segment, kinds>> of ordered turns in windows of `budget` characters.
 
     A window ends before a turn of another segment and before one that it has no room for; a turn above the budget
-    stands alone. Each turn counts two characters more than it has.
+    stands alone. Each turn counts two characters more than it has. Only sizes and segments go through Python.
     """
-    kind = "array<struct<turn_start:int,turn_end:int,char_start:int,char_end:int,segment:int,kinds:array<string>>>"
-    zero = F.struct(F.lit(0).alias("used"), F.array().cast(kind).alias("out"))
+    sized = F.transform(turns, lambda t: F.struct(t["segment"].cast("int").alias("segment"), (t["end"] - t["start"] + 2).cast("int").alias("size")))
 
-    def step(acc, t):
-        size = t["end"] - t["start"] + 2
-        last = F.try_element_at(acc["out"], F.lit(-1))
-        fits = F.coalesce((last["segment"] == t["segment"]) & (acc["used"] + size <= budget), F.lit(False))
-        longer = F.struct(last["turn_start"].alias("turn_start"), t["index"].alias("turn_end"), last["char_start"].alias("char_start"), t["end"].alias("char_end"), last["segment"].alias("segment"), F.array_sort(F.array_union(last["kinds"], F.array(t["kind"]))).alias("kinds"))
-        fresh = F.struct(t["index"].alias("turn_start"), t["index"].alias("turn_end"), t["start"].alias("char_start"), t["end"].alias("char_end"), t["segment"].alias("segment"), F.array(t["kind"]).alias("kinds"))
-        out = F.when(fits, F.concat(F.slice(acc["out"], F.lit(1), F.greatest(F.size(acc["out"]) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(acc["out"], F.array(fresh)))
-        return F.struct(F.when(fits, acc["used"] + size).otherwise(size).alias("used"), out.alias("out"))
+    def window(w: Column) -> Column:
+        first, last = F.get(turns, w["first"]), F.get(turns, w["first"] + w["n"] - 1)
+        kinds = F.array_sort(F.array_distinct(F.transform(F.slice(turns, w["first"] + 1, w["n"]), lambda t: t["kind"])))
+        return F.struct(first["index"].alias("turn_start"), last["index"].alias("turn_end"), first["start"].alias("char_start"), last["end"].alias("char_end"), first["segment"].alias("segment"), kinds.alias("kinds"))
 
-    return F.aggregate(turns, zero, step, lambda acc: acc["out"])
+    return F.transform(_windows(sized, F.lit(budget)), window)
 
 
 def numbered_lines(df: DataFrame, keys: list[str], data: Column, start: Column) -> DataFrame:
@@ -57,14 +83,11 @@ def numbered_lines(df: DataFrame, keys: list[str], data: Column, start: Column)
 
     `data` is the piece as text and `start` its byte place. A line's end leaves out its line feed.
     """
-    lines = F.split(data, "\n", -1)
-    zero = F.struct(start.cast("bigint").alias("at"), F.array().cast("array<struct<byte_start:bigint,byte_end:bigint,text:string>>").alias("out"))
-    def step(acc, line):
-        end = acc["at"] + F.octet_length(line)
-        return F.struct((end + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("byte_start"), end.alias("byte_end"), line.alias("text")))).alias("out"))
-    spans = F.aggregate(lines, zero, step, lambda acc: acc["out"])
-    each = df.select(*keys, F.posexplode(spans).alias("n", "s"))
-    return each.select(*keys, (F.col("n") + 1).alias("line"), "s.byte_start", "s.byte_end", "s.text")
+    lines = df.select(*keys, start.cast("bigint").alias("_at"), F.split(data, "\n", -1).alias("_lines"))
+    lines = lines.withColumn("_starts", starts_of(F.transform("_lines", lambda p: F.octet_length(p)), F.lit(1)))
+    each = lines.select(*keys, "_at", F.posexplode(F.arrays_zip("_lines", "_starts")).alias("n", "s"))
+    low = F.col("_at") + F.col("s._starts")
+    return each.select(*keys, (F.col("n") + 1).alias("line"), low.alias("byte_start"), (low + F.octet_length("s._lines")).alias("byte_end"), F.col("s._lines").alias("text"))
 
 
 def resolve_lines(first: Column, last: Column, spans: Column) -> Column:

@@ -63,7 +63,7 @@ def _less_than(values: DataFrame, value: str, asked: DataFrame, key: str, name:
     base = marks.groupBy("d").agg(F.sum("c").alias("in_day")).withColumn("base", F.coalesce(F.sum("in_day").over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # Asked rows (o = 0) come before values of the same x, so that the count is of lesser ones.
     inside = F.coalesce(F.sum("c").over(Window.partitionBy("d").orderBy("x", "o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = marks.withColumn("inside", inside).where("o = 0").join(F.broadcast(base.select("d", "base")), "d")
+    counted = marks.withColumn("inside", inside).where("o = 0").join(base.select("d", "base"), "d")
     return counted.select(key, (F.col("inside") + F.col("base")).cast("bigint").alias(name))
 
 

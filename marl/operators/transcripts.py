@@ -129,16 +129,19 @@ def rendered(transcript: DataFrame) -> DataFrame:
     session they came. Long parts keep head and tail. A session's text is one row.
     """
     recs = transcript.where("session_id is not null and uuid is not null")
-    content = recs.groupBy("session_id", "uuid").agg(F.max_by(F.struct("type", "subtype", "isMeta", "compactMetadata", "message"), "pos").alias("r"))
-    path = active_path(transcript).join(content, ["session_id", "uuid"]).select("session_id", "uuid", "rank", "r.*")
+    heads = recs.groupBy("session_id", "uuid").agg(F.max_by(F.struct("type", "subtype", F.col("message.id").alias("message_id")), "pos").alias("r"))
+    path = active_path(transcript).join(heads, ["session_id", "uuid"]).select("session_id", "uuid", "rank", "r.*")
     listed = recs.where(~F.coalesce("isSidechain", F.lit(False)) & F.col("message.content").rlike(LISTED)).select("session_id", "pos", F.explode(F.from_json("message.content", BLOCKS)).alias("b"))
     results = listed.where("b.type = 'tool_result' and b.tool_use_id is not null").groupBy("session_id", F.col("b.tool_use_id").alias("id")).agg(F.max_by("b", "pos").alias("b")).select("session_id", "id", result_text(F.col("b.content"), F.col("b.is_error")).alias("result"))
     order = Window.partitionBy("session_id").orderBy("rank")
     compact = (F.col("type") == "system") & (F.col("subtype") == "compact_boundary")
-    mid = F.when(F.col("type") == "assistant", F.coalesce("message.id", "uuid"))
+    mid = F.when(F.col("type") == "assistant", F.coalesce("message_id", "uuid"))
     rows = path.withColumn("segment", F.sum(F.coalesce(compact, F.lit(False)).cast("int")).over(order)).withColumn("mid", mid)
     new = F.col("mid").isNull() | ~F.col("mid").eqNullSafe(F.lag("mid").over(order))
-    rows = rows.withColumn("turn", F.sum(new.cast("int")).over(order)).withColumn("blocks", blocks(F.col("message.content")))
+    # The windows carry links and kinds only; contents come in afterwards, by record.
+    content = recs.groupBy("session_id", "uuid").agg(F.max_by(F.struct("isMeta", "compactMetadata", "message"), "pos").alias("c"))
+    rows = rows.withColumn("turn", F.sum(new.cast("int")).over(order)).drop("message_id").join(content, ["session_id", "uuid"])
+    rows = rows.select("*", "c.*").withColumn("blocks", blocks(F.col("message.content")))
     said = rows.where("type = 'assistant'").select("session_id", "turn", "segment", "rank", F.posexplode("blocks").alias("n", "b"))
     said = said.withColumn("id", F.col("b.id")).join(results, ["session_id", "id"], "left")
     indented = F.concat(F.lit("\n  ⤷ "), F.regexp_replace(truncate(_strip(F.col("result")), *RESULT_CAP), "\n", "\n     "))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marl.functions import scores, text
-from marl.operators import facets, folds, graphs, histogram, matching, ordered, queue, rendering, resolving, temporal, transcripts
+from marl.operators import claims, facets, folds, graphs, histogram, matching, ordered, queue, rendering, resolving, temporal, transcripts
 from marl.operators.incremental import changed_entries
 from marl.plans.scratch import fresh_path
 
@@ -221,7 +221,11 @@ def byte_spans(spark, folder):
     return c.select("cleaned_hash", "byte_start", "byte_end", "segment", text.valid_span(F.col("byte_start"), F.col("byte_end"), F.col("n")).alias("holds"))
 
 
-@query()
+@query("""
+WITH c AS (SELECT DISTINCT cleaned_hash, byte_start, byte_end, segment, turn_start FROM chunk), b AS (SELECT cleaned_hash, encode(any_value(text)) AS data FROM cleaned_blob WHERE text IS NOT NULL GROUP BY 1),
+q AS (SELECT c.*, try(decode(data[byte_start + 1 : byte_end])) AS quote FROM c JOIN b USING (cleaned_hash) WHERE byte_start >= 0 AND byte_start < byte_end AND byte_end <= octet_length(data))
+SELECT cleaned_hash, byte_start, byte_end, segment, turn_start, sha256(quote) AS quote_hash, length(quote)::INT AS chars FROM q WHERE quote IS NOT NULL AND NOT regexp_full_match(quote, '\\s*')
+""")
 def quote_reanchor(spark, folder):
     """The text each chunk points to, as its hash and length; pointers that do not hold are left out."""
     c = table(spark, folder, "chunk").select("cleaned_hash", "byte_start", "byte_end", "segment", "turn_start").distinct()
@@ -642,10 +646,146 @@ def concept_digest(spark, folder):
     return c.orderBy(F.desc("sessions"), "id").limit(80).select("id", "grp", "sessions")
 
 
+# The life of claims
+
+
+_EDGES = """v AS (SELECT l_orderkey AS event_id, CASE l_returnflag WHEN 'R' THEN 'contradicts' ELSE 'corroborates' END AS verb, l_suppkey AS claim_id, l_shipdate AS said, l_linenumber, l_linestatus = 'O' AS active, l_discount FROM lineitem),
+rej AS (SELECT DISTINCT event_id, verb, claim_id FROM v WHERE l_discount >= 0.095),
+live AS (SELECT event_id, verb, claim_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id, verb, claim_id ORDER BY said DESC, l_linenumber DESC) AS k FROM v WHERE event_id IS NOT NULL AND claim_id IS NOT NULL)
+WHERE k = 1 AND active AND (event_id, verb, claim_id) NOT IN (SELECT (event_id, verb, claim_id) FROM rej))"""
+
+
+def _edge_versions(spark, folder):
+    """Lines of orders as versions of edges: an order speaks for a supplier, or against it where the goods came back."""
+    verb = F.when(F.col("l_returnflag") == "R", "contradicts").otherwise("corroborates")
+    return table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("event_id"), verb.alias("verb"), F.col("l_suppkey").alias("claim_id"), F.struct("l_shipdate", "l_linenumber").alias("at"), (F.col("l_linestatus") == "O").alias("active"), "l_discount")
+
+
+def _live_edges(spark, folder):
+    v = _edge_versions(spark, folder)
+    none = F.lit(None)
+    rejections = v.where("l_discount >= 0.095").select(F.lit(claims.REJECT_MERGE).alias("verb"), none.cast("string").alias("target"), none.cast("timestamp").alias("at"), claims.edge_id(F.col("event_id"), F.col("verb"), F.col("claim_id")).alias("edge"), none.cast("array<string>").alias("pair"))
+    return claims.live_edges(v.drop("l_discount"), claims.rejected(rejections).edges)
+
+
+@query(f"WITH {_EDGES} SELECT event_id, verb, claim_id FROM live")
+def live_claim_edges(spark, folder):
+    """The last version of each edge where it is active and no rejection names it."""
+    return _live_edges(spark, folder).select("event_id", "verb", "claim_id")
+
+
+@query(f"""
+WITH {_EDGES}, s AS (SELECT claim_id, verb = 'contradicts' AS contra, event_id, o_custkey AS repo, o_orderdate AS ts FROM live JOIN orders ON o_orderkey = event_id),
+o AS (SELECT *, lag(ts) OVER (PARTITION BY claim_id, contra, repo ORDER BY ts, event_id) AS p FROM s),
+n AS (SELECT *, sum((p IS NULL OR epoch(ts) - epoch(p) > 12 * 3600)::INT) OVER (PARTITION BY claim_id, contra, repo ORDER BY ts, event_id) AS sit FROM o),
+w AS (SELECT claim_id, contra, pow(0.5, greatest(0, (epoch(TIMESTAMP '1998-09-01') - epoch(max(ts))) / 86400) / 180) AS w FROM n GROUP BY claim_id, contra, repo, sit),
+e AS (SELECT claim_id, count(*) FILTER (NOT contra) AS support, count(*) FILTER (contra) AS contradictions, sum(CASE WHEN contra THEN -w ELSE w END) AS net FROM w GROUP BY claim_id),
+y AS (SELECT claim_id, min(greatest(0, (epoch(TIMESTAMP '1998-09-01') - epoch(ts)) / 86400)) FILTER (NOT contra) AS youngest FROM s GROUP BY claim_id)
+SELECT claim_id, support, contradictions, round(net, 4) AS entrenchment, round(youngest, 4) AS youngest, net >= 0.5 OR coalesce(youngest <= 90, false) AS active, net >= 1.5 AS mature FROM e JOIN y USING (claim_id)
+""")
+def claim_standing(spark, folder):
+    """What each claim's live edges weigh by sittings, and whether it is active and mature."""
+    o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("repo"), F.col("o_orderdate").alias("ts"))
+    e = _live_edges(spark, folder).select("event_id", "verb", "claim_id").join(o, "event_id")
+    out = claims.standing(e, "event_id", "repo", "ts", "1998-09-01 00:00:00")
+    return out.withColumn("entrenchment", F.round("entrenchment", 4)).withColumn("youngest", F.round("youngest", 4))
+
+
+@query(f"""
+WITH {_EDGES}, b AS (SELECT s_nationkey, min(s_suppkey) AS winner FROM supplier WHERE s_acctbal >= 0 GROUP BY 1), m AS (SELECT s_suppkey AS loser, winner FROM supplier JOIN b USING (s_nationkey) WHERE s_acctbal < 0),
+mine AS (SELECT live.*, winner FROM live JOIN m ON claim_id = loser),
+g AS (SELECT winner AS claim_id, event_id, verb, true AS active, min(claim_id) AS repointed_from FROM mine WHERE (winner, event_id, verb) NOT IN (SELECT (claim_id, event_id, verb) FROM live) GROUP BY ALL)
+SELECT claim_id, event_id, verb, active, repointed_from FROM g UNION ALL SELECT claim_id, event_id, verb, false, NULL FROM mine
+""")
+def merged_edges(spark, folder):
+    """What a merge of claims appends: the winner's new edges and the loser's retractions."""
+    s = table(spark, folder, "supplier")
+    best = s.where("s_acctbal >= 0").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("winner"))
+    merges = s.where("s_acctbal < 0").join(best, "s_nationkey").select(F.col("s_suppkey").alias("loser"), "winner")
+    e = _live_edges(spark, folder).select("event_id", "verb", "claim_id", "active", F.lit(0).alias("at"))
+    return claims.merged(e, merges, F.lit(1)).select("claim_id", "event_id", "verb", "active", "repointed_from")
+
+
+@query("""
+WITH v AS (SELECT l_suppkey AS src, CASE l_returnflag WHEN 'N' THEN 'generalizes' ELSE 'relates' END AS kind, l_partkey AS dst, l_shipdate AS said, l_orderkey, l_linenumber, l_linestatus = 'O' AS active FROM lineitem),
+n AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src, kind, dst ORDER BY said DESC, l_orderkey DESC, l_linenumber DESC) AS k FROM v) WHERE k = 1 AND active AND kind = 'generalizes'
+AND src IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) AND dst IN (SELECT p_partkey FROM part))
+SELECT src, count(*)::INT AS n, array_to_string(list_sort(list(dst)), ',') AS children FROM n GROUP BY src
+""")
+def concept_hierarchy(spark, folder):
+    """What each valid node generalizes by the last version of its asserted edges."""
+    kind = F.when(F.col("l_returnflag") == "N", "generalizes").otherwise("relates")
+    e = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("src"), kind.alias("kind"), F.col("l_partkey").alias("dst"), F.struct("l_shipdate", "l_orderkey", "l_linenumber").alias("at"), (F.col("l_linestatus") == "O").alias("active"))
+    valid = table(spark, folder, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").alias("src"))
+    out = claims.children(e.join(valid, "src", "left_semi"), table(spark, folder, "part").select(F.col("p_partkey").alias("id")).union(valid))
+    return out.select("src", F.size("children").alias("n"), F.array_join(F.transform("children", lambda c: c.cast("string")), ",").alias("children"))
+
+
+@query("""
+WITH r(tag, winner) AS (VALUES ('F', 'P'), ('P', '5-LOW'), ('1-URGENT', '2-HIGH'), ('4-NOT SPECIFIED', NULL)),
+n AS (SELECT o_custkey AS concept_id, [o_orderstatus, o_orderpriority] AS tags FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1),
+e AS (SELECT concept_id, unnest(tags) AS tag FROM n), t AS (SELECT DISTINCT concept_id, CASE WHEN tag IN ('F', 'P') THEN '5-LOW' WHEN r.tag IS NOT NULL THEN r.winner ELSE e.tag END AS tag FROM e LEFT JOIN r USING (tag))
+SELECT concept_id, coalesce(array_to_string(list_sort(list(tag) FILTER (tag IS NOT NULL)), '|'), '') AS tags FROM n LEFT JOIN t USING (concept_id) GROUP BY concept_id
+""")
+def tag_assignments(spark, folder):
+    """The tags of each concept's latest assignment, at the end of their redirects."""
+    a = table(spark, folder, "orders").select(F.col("o_custkey").alias("concept_id"), F.array("o_orderstatus", "o_orderpriority").alias("tags"), F.struct("o_orderdate", "o_orderkey").alias("at"))
+    redirects = spark.createDataFrame([("F", "P"), ("P", "5-LOW"), ("1-URGENT", "2-HIGH"), ("4-NOT SPECIFIED", None)], "loser string, winner string")
+    return claims.assigned_tags(a, redirects).select("concept_id", F.array_join("tags", "|").alias("tags"))
+
+
+@query("""
+WITH m AS (SELECT DISTINCT id, member FROM (SELECT id, 'repo:' || unnest(facets.repos) AS member FROM concept_graph UNION ALL SELECT id, 'file:' || unnest(facets.files) FROM concept_graph) WHERE id IS NOT NULL AND member IS NOT NULL),
+n AS (SELECT count(DISTINCT id) AS n FROM concept_graph), d AS (SELECT member FROM m GROUP BY member HAVING count(*) < 2 OR count(*) <= 0.5 * (SELECT n FROM n)),
+p AS (SELECT DISTINCT a.id, b.id AS other FROM m a JOIN d USING (member) JOIN m b USING (member))
+SELECT id, count(*) AS candidates FROM p GROUP BY id
+""")
+def facet_devaluation(spark, folder):
+    """How many claims share a subject with each one, subjects of more than half of all claims left out."""
+    c = table(spark, folder, "concept_graph")
+    part = lambda kind: F.transform(F.coalesce(f"facets.{kind}s", F.array().cast("array<string>")), lambda x: F.concat(F.lit(f"{kind}:"), x))
+    named = F.concat(part("repo"), part("file"))
+    m = matching.members(c, "id", named)
+    total = c.where("id is not null").select("id").distinct().count()
+    return matching.shared_facets(m, m.withColumnRenamed("id", "other"), "id", "other", total).groupBy("id").agg(F.count("*").alias("candidates"))
+
+
+@query(f"""
+WITH f AS (SELECT pin_id, min({_FORM.format('text')}) AS form FROM stmt_sig_pins WHERE pin_id IS NOT NULL AND text IS NOT NULL GROUP BY pin_id),
+h AS (SELECT pin_id, -sum(k / n * log2(k / n)) AS e FROM (SELECT pin_id, any_value(length(form)) AS n, c, count(*) AS k FROM (SELECT pin_id, form, unnest(string_split(form, '')) AS c FROM f WHERE form <> '') GROUP BY pin_id, c) GROUP BY pin_id),
+g AS (SELECT pin_id, {_GRAMS.format('form')} AS g FROM f JOIN h USING (pin_id) WHERE e >= 3.0),
+j AS (SELECT a.pin_id AS a, b.pin_id AS b, len(list_intersect(a.g, b.g)) AS k, len(a.g) AS na, len(b.g) AS nb FROM g a JOIN g b ON a.pin_id < b.pin_id)
+SELECT a, b, round(k / (na + nb - k), 6) AS sim FROM j WHERE k / (na + nb - k) >= 0.12 AND k / (na + nb - k) < 0.55
+""")
+def merge_suggestions(spark, folder):
+    """All pairs of statements in the band that the thresholds leave open."""
+    found = histogram.pairs_between(table(spark, folder, "stmt_sig_pins"), "pin_id", "text", text.J_MAYBE, text.J_HIGH)
+    return found.select("a", "b", F.round("sim", 6).alias("sim"))
+
+
+@query("""
+SELECT session_id, valid FROM (SELECT source_id AS session_id, cleaned_hash, n_bytes AS valid, row_number() OVER (PARTITION BY source_id ORDER BY n_bytes DESC, cleaned_hash DESC) AS k FROM cleaned_blob WHERE source_id IS NOT NULL AND source_kind IN ('transcript', 'document')) WHERE k = 1
+""")
+def session_valid_times(spark, folder):
+    """What the latest version of each source says of it; blobs have no times, so their sizes stand for fetching and for happening."""
+    b = table(spark, folder, "cleaned_blob").select("source_id", "source_kind", F.col("n_bytes").alias("fetched_at"), F.col("cleaned_hash").alias("content_hash"), F.col("n_bytes").alias("mtime"))
+    return claims.valid_times(b)
+
+
 # Order-dependent operators
 
 
-@query()
+_PATH = """r0 AS (SELECT session_id, uuid, max(struct_pack(pos := pos, turn := coalesce(type IN ('user', 'assistant'), false), side := coalesce(isSidechain, false), p := parentUuid, l := logicalParentUuid)) AS r FROM transcript WHERE session_id IS NOT NULL AND uuid IS NOT NULL AND pos IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT session_id, uuid, r.pos AS pos, r.turn AS turn, r.p AS p, r.l AS l FROM r0 WHERE NOT r.side),
+w AS (SELECT session_id, arg_max(uuid, (pos, uuid)) AS here, [arg_max(uuid, (pos, uuid))] AS path FROM r WHERE turn GROUP BY session_id
+UNION ALL SELECT session_id, too, list_append(path, too) FROM (SELECT w.session_id, w.path, coalesce(
+CASE WHEN c.p IN (SELECT uuid FROM r x WHERE x.session_id = w.session_id) AND NOT list_contains(w.path, c.p) THEN c.p END,
+CASE WHEN c.l IN (SELECT uuid FROM r x WHERE x.session_id = w.session_id) AND NOT list_contains(w.path, c.l) THEN c.l END,
+(SELECT arg_max(t.uuid, (t.pos, t.uuid)) FROM r t WHERE t.session_id = w.session_id AND t.turn AND (t.pos, t.uuid) < (c.pos, c.uuid) AND NOT list_contains(w.path, t.uuid))) AS too FROM w JOIN r c ON c.session_id = w.session_id AND c.uuid = w.here) WHERE too IS NOT NULL),
+f AS (SELECT session_id, arg_max(path, len(path)) AS path FROM w GROUP BY session_id)"""
+
+
+@query(f"WITH RECURSIVE {_PATH} SELECT session_id, unnest(path) AS uuid, (len(path) - unnest(range(1, len(path) + 1)))::INT AS rank FROM f")
 def active_path(spark, folder):
     """The surviving records of every session, in order."""
     return transcripts.active_path(table(spark, folder, "transcript"))

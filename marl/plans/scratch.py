@@ -9,6 +9,7 @@ workers would write to disks that no other sees.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -64,17 +65,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def rename(spark: SparkSession, old: str, new: str) -> bool:
-    """Move a file or folder in one step of the file system; False where the target exists."""
-    files, source = _hadoop_path(spark, old)
-    _, target = _hadoop_path(spark, new)
-    return not files.exists(target) and files.rename(source, target)
+def listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """The names in a folder with the time, in milliseconds, of their last change; none for a folder that is not there."""
+    files, target = _hadoop_path(spark, path)
+    return {f.getPath().getName(): f.getModificationTime() for f in files.listStatus(target)} if files.exists(target) else {}
+
+
+def create_once(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Publish a small file whole and in one step unless `path` is there already; whether it did.
+
+    The content is written beside it and moved by a rename that refuses an existing target (a hard link on a local disk), so
+    that of several writers one succeeds and no reader sees a part.
+    """
+    files, target = _hadoop_path(spark, path)
+    beside = f"{path}.{uuid.uuid4().hex}"
+    write_bytes(spark, beside, data)
+    try:
+        if files.getUri().getScheme() == "file":
+            plain = lambda p: p.removeprefix("file://") if p.startswith("file:///") else p.removeprefix("file:")
+            os.link(plain(beside), plain(path))
+        else:
+            gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+            how = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(jvm.org.apache.hadoop.fs.Path(beside), target, how)
+        return True
+    except FileExistsError:
+        return False
+    except Exception:
+        if files.exists(target):
+            return False
+        raise
+    finally:
+        delete(spark, beside)
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The content of a small file."""
+    files, target = _hadoop_path(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Write a small file through the file system of `path`."""
     files, target = _hadoop_path(spark, path)
-    out = files.create(target)
+    out = files.create(target, True)
     try:
         out.write(bytearray(data))
     finally:

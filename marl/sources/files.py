@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marl.operators.ordered import running_total
+
 RECORD = "type string, uuid string, parentUuid string, logicalParentUuid string, isSidechain boolean, isMeta boolean, subtype string, compactMetadata struct<trigger:string,preTokens:int>, message struct<role:string,id:string,content:string>, cwd string, gitBranch string"
 
 
@@ -48,10 +50,13 @@ def selected(files: DataFrame, since: str | None = None, last: int | None = None
 
 
 def read_lines(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
-    """(path, pos, line) of text files; bytes that are no UTF-8 are replaced. A file is one row until it is split into lines."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    return files.select("path", F.posexplode(F.split(text, "\r?\n")).alias("pos", "line")).where(F.trim("line") != "")
+    """(path, pos, line) of text files; bytes that are no UTF-8 are replaced, blank lines are left out. A file of any size is read
+    in blocks; a line's place is its number in its block after the lines of the blocks before."""
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(root)
+    rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.make_valid_utf8("value").alias("line"))
+    placed = running_total(rows, ["path"], F.struct("block", "seq"), "block", F.lit(1), "pos")
+    line = F.regexp_replace("line", "\r$", "")
+    return placed.select("path", (F.col("pos") - 1).cast("int").alias("pos"), line.alias("line")).where(F.trim("line") != "")
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
