@@ -6,7 +6,7 @@ from the last record and runs the spoken records of the path through a finite-st
 
 A session larger than WIDE records is not walked in one task. Its links are doubled instead (join after join over all
 records, each link twice as long as before), which ranks the records of the path in a number of joins that grows with
-the logarithm of the session, and the automaton runs as window functions.
+the logarithm of the session, and the automaton runs as running totals over stretches of the session.
 """
 
 from __future__ import annotations
@@ -15,15 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marl.operators.ordered import running_total, with_last
 from marl.plans.scratch import drop, keep
 from marl.plans.streams import groups
 
 #: Records of a session that one task walks, at about 40 bytes each.
 WIDE = 1_000_000
 SPEAKS, PROMPT, ANSWER, TIP, BRIDGE = 1, 2, 4, 8, 16
+#: Places of a session that one task puts in order where sessions are too large for one task.
+STRETCH = 100_000
 _BLANK = r"(?U)^\s*$"
 
 
@@ -121,8 +124,11 @@ def _doubled(rows: DataFrame) -> DataFrame:
     known = here.select("session_id", F.col("uuid").alias("ref"), F.col("uuid").alias("to"))
     linked = here.join(known, ["session_id", "ref"], "left")
     lost = linked.where(F.col("ref").isNotNull() & F.col("to").isNull() & (F.col("flags").bitwiseAND(BRIDGE) != 0))
-    turns = here.where(F.col("flags").bitwiseAND(TIP) != 0).select("session_id", F.col("pos").alias("tpos"), F.col("place").alias("tplace"))
-    bridged = lost.select("session_id", "uuid", "pos").join(turns, "session_id").where("tpos < pos").groupBy("session_id", "uuid").agg(F.max("tplace")["uuid"].alias("bridge"))
+    # The last turn before each lost boundary, by neighbours: only turns and boundaries are in line, cut by their place.
+    line = here.where(F.col("flags").bitwiseAND(TIP | BRIDGE) != 0).withColumn("stretch", F.expr(f"pos div {STRETCH}"))
+    turn = F.when(F.col("flags").bitwiseAND(TIP) != 0, F.col("uuid"))
+    bridged = with_last(line, ["session_id"], place, "stretch", turn, "bridge").where("bridge is not null")
+    bridged = bridged.join(lost.select("session_id", "uuid"), ["session_id", "uuid"], "left_semi").select("session_id", "uuid", "bridge")
     linked = linked.join(bridged, ["session_id", "uuid"], "left")
     stuck = F.col("ref").isNotNull() & F.col("to").isNull() & (F.col("flags").bitwiseAND(BRIDGE) == 0)
     base = linked.select("session_id", "uuid", "flags", F.coalesce("to", "bridge").alias("next"), stuck.alias("stuck"))
@@ -141,9 +147,10 @@ def _doubled(rows: DataFrame) -> DataFrame:
     full = path.join(base, ["session_id", "uuid"]).join(sizes, "session_id")
     broken = full.groupBy("session_id").agg((F.max("stuck") | (F.max("rank") >= F.max("records"))).alias("broken")).where("broken").select("session_id")
     spoken = full.where(F.col("flags").bitwiseAND(SPEAKS) != 0).join(broken, "session_id", "left_anti")
-    order = Window.partitionBy("session_id").orderBy(F.desc("rank"))
     marked = spoken.withColumn("prompt", F.col("flags").bitwiseAND(PROMPT) != 0).withColumn("answer", F.col("flags").bitwiseAND(ANSWER) != 0)
-    marked = marked.withColumn("turn_no", F.row_number().over(order)).withColumn("asked", F.sum(F.col("prompt").cast("int")).over(order))
+    marked = marked.withColumn("place", -F.col("rank")).withColumn("stretch", F.expr(f"-(rank div {STRETCH})"))
+    marked = running_total(marked, ["session_id"], F.col("place"), "stretch", F.lit(1), "turn_no").withColumn("turn_no", F.col("turn_no").cast("int"))
+    marked = running_total(marked, ["session_id"], F.col("place"), "stretch", F.col("prompt").cast("int"), "asked")
     exchanges = marked.groupBy("session_id", "asked").agg(F.max("answer").alias("answered")).where("asked > 0")
     good = exchanges.groupBy("session_id").agg(F.min("answered").alias("good")).where("good").select("session_id")
     return marked.join(good, "session_id", "left_semi").select("session_id", "turn_no", "uuid")

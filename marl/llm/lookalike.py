@@ -19,18 +19,24 @@ from pyspark.sql import functions as F
 
 from marl.plans.scratch import drop, keep
 
-# Letters of the Cyrillic, Greek, Armenian and extended Latin alphabets and the Latin letters they are drawn like.
+# Letters of other alphabets, and of extended Latin, and the Latin letters they are drawn like.
 LOOKALIKES = {
     # Cyrillic, small
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "ѵ": "v", "ԝ": "w", "х": "x", "у": "y", "ү": "y",
     # Cyrillic, capital
     "А": "A", "В": "B", "С": "C", "Е": "E", "Ԍ": "G", "Н": "H", "І": "I", "Ӏ": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ԛ": "Q", "Ѕ": "S", "Т": "T", "Ѵ": "V", "Ԝ": "W", "Х": "X", "У": "Y", "Ү": "Y",
     # Greek, small
-    "ο": "o", "ϳ": "j", "ϲ": "c", "ν": "v", "ρ": "p",
+    "ο": "o", "α": "a", "ϳ": "j", "ϲ": "c", "ι": "i", "ν": "v", "ρ": "p", "υ": "u", "γ": "y",
     # Greek, capital
     "Α": "A", "Β": "B", "Ϲ": "C", "Ε": "E", "Η": "H", "Ι": "I", "Ϳ": "J", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ζ": "Z",
     # Armenian
     "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "յ": "j", "Օ": "O", "Տ": "S", "Լ": "L",
+    # Cherokee
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    # Coptic
+    "Ⲃ": "B", "Ⲥ": "C", "ⲥ": "c", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X", "Ⲍ": "Z",
+    # Lisu
+    "ꓮ": "A", "ꓐ": "B", "ꓚ": "C", "ꓓ": "D", "ꓰ": "E", "ꓝ": "F", "ꓖ": "G", "ꓧ": "H", "ꓲ": "I", "ꓙ": "J", "ꓗ": "K", "ꓡ": "L", "ꓟ": "M", "ꓠ": "N", "ꓳ": "O", "ꓑ": "P", "ꓣ": "R", "ꓢ": "S", "ꓔ": "T", "ꓴ": "U", "ꓦ": "V", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓜ": "Z",
     # Latin letters outside the basic alphabet
     "ɑ": "a", "ɡ": "g",
 }
@@ -63,13 +69,8 @@ def _hashes(values: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.md5(v.encode()).digest() for v in values), np.int64).reshape(-1, 2)
 
 
-def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: rows of `df` whose texts have one form and are not equal.
-
-    Null texts, and texts without a visible character, take no part; nor do rows with a null key. Equal texts are no
-    pair, and a class of nothing but copies is dropped before any join, however large. Only 128-bit hashes of text and
-    form are shuffled. An empty table gives no rows; other columns are ignored; a repeated row of one key counts once.
-    """
+def _marks(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, t1, t2, f1, f2): 128-bit hashes of the text and of the form of each row with something visible."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -80,7 +81,31 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
             yield pd.DataFrame({"id": ids, "t1": t[:, 0], "t2": t[:, 1], "f1": f[:, 0], "f2": f[:, 1]})
 
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    marks = keep(rows.mapInPandas(run, "id bigint, t1 bigint, t2 bigint, f1 bigint, f2 bigint"), "marks")
+    return rows.mapInPandas(run, "id bigint, t1 bigint, t2 bigint, f1 bigint, f2 bigint")
+
+
+def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(class_id, `key`, links): every row whose text has the form of another text, the least key of its class, and with how many rows
+    of other texts it looks the same. Rows of a class cost one row each, however many there are."""
+    marks = keep(_marks(df, key, text).distinct(), "marks")
+    each = marks.groupBy("f1", "f2", "t1", "t2").agg(F.count("*").alias("copies"), F.min("id").alias("first"))
+    whole = each.groupBy("f1", "f2").agg(F.sum("copies").alias("rows"), F.min("first").alias("class_id"), F.count("*").alias("texts")).where("texts > 1")
+    counted = each.join(whole, ["f1", "f2"]).select("f1", "f2", "t1", "t2", "class_id", (F.col("rows") - F.col("copies")).alias("links"))
+    out = keep(marks.join(counted, ["f1", "f2", "t1", "t2"]).select("class_id", F.col("id").alias(key), "links"), "classes")
+    drop(marks)
+    return out
+
+
+def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_a, doc_b), doc_a < doc_b: rows of `df` whose texts have one form and are not equal. All pairs of a class come out, as
+    the statement of the problem asks; `lookalike_classes` has a row for each member instead.
+
+    Null texts, and texts without a visible character, take no part; nor do rows with a null key. Equal texts are no
+    pair, and a class of nothing but copies is dropped before any join, however large. Only 128-bit hashes of text and
+    form are shuffled. An empty table gives no rows; other columns are ignored; a repeated row of one key counts once.
+    """
+
+    marks = keep(_marks(df, key, text), "marks")
     texts = marks.select("t1", "t2", "f1", "f2").distinct()
     several = texts.groupBy("f1", "f2").agg(F.count("*").alias("c")).where("c > 1").select("f1", "f2")
     texts = keep(texts.join(several, ["f1", "f2"]), "texts")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from marl.llm.bpe import encode_texts
 from marl.llm.dialogue import conversations
 from marl.llm.history import repeats_by_batch
-from marl.llm.leakage import leaked_items
-from marl.llm.lookalike import lookalike_pairs
+from marl.llm.leakage import leaked_items, paraphrased_items
+from marl.llm.lookalike import lookalike_classes, lookalike_pairs
 from marl.llm.neardup import near_duplicate_groups
 from marl.llm.setjoin import concept_members, similar_pairs
 from marl.llm.splitter import split_chunks
@@ -52,10 +52,18 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_items(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
 
 
+def p8_paraphrases(spark: SparkSession, folder: str) -> DataFrame:
+    return paraphrased_items(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def p9_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike_classes(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
@@ -87,5 +95,23 @@ SELECT a AS id_a, b AS id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHE
 """
 
 
+P5_SQL = """
+WITH RECURSIVE m AS (SELECT session_id, uuid, min(struct_pack(pos := pos, t := type, sub := subtype, meta := coalesce(isMeta, false), side := coalesce(isSidechain, false), ref := coalesce(parentUuid, logicalParentUuid), c := message.content)) AS r
+FROM transcript WHERE session_id IS NOT NULL AND uuid IS NOT NULL AND pos IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT session_id, uuid, r.pos AS pos, coalesce(r.t IN ('user', 'assistant'), false) AS turn, r.t AS type, coalesce(r.sub = 'compact_boundary', false) AS bridge, r.ref AS ref,
+coalesce(r.t IN ('user', 'assistant') AND NOT r.meta AND NOT regexp_full_match(r.c, '[\\s\\p{Z}]*') AND trim(r.c) <> '[]', false) AS spoken,
+CASE WHEN contains(r.c, 'tool_result') AND json_valid(r.c) THEN coalesce(list_contains(list_transform(from_json(r.c, '[{"type":"VARCHAR"}]'), lambda b: b.type), 'tool_result'), false) ELSE false END AS result FROM m WHERE NOT r.side),
+w AS (SELECT session_id, arg_max(uuid, (pos, uuid)) AS here, [arg_max(uuid, (pos, uuid))] AS path, false AS broken FROM r WHERE turn GROUP BY session_id
+UNION ALL SELECT session_id, too, list_append(path, too), lost OR list_contains(path, too) FROM (SELECT w.session_id, w.path, CASE WHEN c.ref IS NULL THEN NULL WHEN c.ref IN (SELECT uuid FROM r x WHERE x.session_id = w.session_id) THEN c.ref
+WHEN c.bridge THEN (SELECT arg_max(t.uuid, (t.pos, t.uuid)) FROM r t WHERE t.session_id = w.session_id AND t.turn AND t.pos < c.pos) ELSE '' END AS too,
+c.ref IS NOT NULL AND NOT c.bridge AND c.ref NOT IN (SELECT uuid FROM r x WHERE x.session_id = w.session_id) AS lost FROM w JOIN r c ON c.session_id = w.session_id AND c.uuid = w.here WHERE NOT w.broken) WHERE too IS NOT NULL),
+f AS (SELECT session_id, arg_max(path, len(path)) AS path, bool_or(broken) AS broken FROM w GROUP BY session_id),
+s AS (SELECT session_id, uuid, k, type, type = 'user' AND NOT result AS prompt FROM (SELECT session_id, unnest(path) AS uuid, unnest(range(len(path))) AS k FROM f WHERE NOT broken) JOIN r USING (session_id, uuid) WHERE spoken),
+a AS (SELECT *, row_number() OVER w AS turn_no, sum(prompt::INT) OVER w AS asked FROM s WINDOW w AS (PARTITION BY session_id ORDER BY k DESC)),
+g AS (SELECT session_id FROM (SELECT session_id, asked, bool_or(type = 'assistant') AS answered FROM a WHERE asked > 0 GROUP BY ALL) GROUP BY session_id HAVING bool_and(answered))
+SELECT session_id, turn_no::INT AS turn_no, uuid FROM a JOIN g USING (session_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p4_found": P4_SQL}
+    return {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}

@@ -5,7 +5,8 @@ it touches: a large blob with many chunks costs its size once, and no key holds
 
 Two ways to choose a cut within the window (start + LEAST, start + LIMIT]:
 `boundaries` takes the last place of the best kind (turn, blank line, line, sentence, space, character);
-`cohesion` takes the deepest valley of the similarity of the words on either side of each place after a space.
+`cohesion` takes the deepest valley of the similarity of the words on either side of each place between words, its depth
+measured from the peaks on both sides.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ LIMIT, LEAST, OVERLAP = 2000, 1000, 200
 PAGE = 1 << 15
 #: Words on either side of a place whose cohesion is measured.
 SIDE = 20
+# A character of a script that is written without spaces: kana, Han, Thai, Lao, Myanmar, Khmer; a word of any other.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_TOKEN = re.compile(f"[{_ALONE}]|(?:(?![{_ALONE}])[^\\W_])+")
+_SINGLE = re.compile(f"[{_ALONE}]")
 # What may come before a cut, best kinds first; the endings of one kind serve alike.
 ENDINGS = [[b"\n\n"], [b"\n"], ["。".encode(), b". ", b"! ", b"? "], [b" "]]
 
@@ -47,26 +52,86 @@ def cut_at_boundary(data: bytes, start: int, turns: np.ndarray, limit: int = LIM
     return max(_start_at(data, high, -1), low + 1)
 
 
-def cut_at_valley(data: bytes, start: int, turns: np.ndarray, limit: int = LIMIT, least: int = LEAST) -> int:
-    """The place after a space in the window where the words before and after share least, the last of several equal ones; in a window without a
-    space, the last character start."""
-    low, high = start + least, start + limit
-    words = [(m.end(), m.group().lower()) for m in re.finditer(rb"\S+\s", data[start : high + 400])]
-    best = (2.0, 0)
-    for i, (end, _) in enumerate(words):
-        if low < start + end <= high:
-            a, b = (Counter(w for _, w in part) for part in (words[max(0, i - SIDE + 1) : i + 1], words[i + 1 : i + 1 + SIDE]))
-            norm = (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
-            best = min(best, (sum(v * b[w] for w, v in a.items()) / norm if norm else 0.0, -(start + end)))
-    return -best[1] if best[1] else max(_start_at(data, high, -1), low + 1)
+def cohesion(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(places, similarity): every place where a text may be cut by its words, as a byte place, and the cosine of the SIDE
+    words before and behind it, smoothed over its neighbours.
+
+    Words are runs of letters and digits in lower case; a character of a script that is written without spaces is a word. A
+    place is the start of a word after a space, or beside such a character. The counts slide along: a step costs the same
+    whatever SIDE is, and the whole curve is linear in the text.
+    """
+    text = data.decode("utf-8", "replace")
+    found = list(_TOKEN.finditer(text))
+    ids: dict[str, int] = {}
+    words = [ids.setdefault(m.group().lower(), len(ids)) for m in found]
+    left, right, both = Counter(), Counter(words[:SIDE]), 0
+    norm_l, norm_r = 0, sum(v * v for v in right.values())
+    sims = np.zeros(len(words))
+    for i, w in enumerate(words):
+        # The place before word i: words i-SIDE..i-1 against i..i+SIDE-1.
+        sims[i] = both / (norm_l * norm_r) ** 0.5 if norm_l and norm_r else 0.0
+        both -= left[w]
+        norm_r -= 2 * right[w] - 1
+        right[w] -= 1
+        both += right[w]
+        norm_l += 2 * left[w] + 1
+        left[w] += 1
+        if i >= SIDE:
+            old = words[i - SIDE]
+            both -= right[old]
+            norm_l -= 2 * left[old] - 1
+            left[old] -= 1
+        if i + SIDE < len(words):
+            new = words[i + SIDE]
+            both += left[new]
+            norm_r += 2 * right[new] + 1
+            right[new] += 1
+    starts = np.array([m.start() for m in found], np.int64)
+    single = np.array([bool(_SINGLE.fullmatch(m.group())) for m in found], bool)
+    spaced = np.array([m.start() > 0 and text[m.start() - 1].isspace() for m in found], bool)
+    allowed = spaced | single | np.r_[False, single[:-1]] if len(found) else np.zeros(0, bool)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    widths = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
+    at = np.r_[0, np.cumsum(widths)]
+    smooth = np.convolve(np.pad(sims, 1, mode="edge"), np.ones(3) / 3, "valid") if len(sims) else sims
+    good = allowed & (starts > 0)
+    return at[starts[good]], smooth[good]
+
+
+def depths(sims: np.ndarray) -> np.ndarray:
+    """How deep the valley at each place is: the climb to the nearest peak before it and to the nearest behind it."""
+    out = np.zeros(len(sims))
+    for curve, into in ((sims, slice(None)), (sims[::-1], slice(None, None, -1))):
+        peak = np.zeros(len(curve))
+        for i, s in enumerate(curve):
+            peak[i] = max(s, peak[i - 1]) if i and curve[i - 1] >= s else s
+        out[into] += peak - curve
+    return out
+
+
+class Valleys:
+    """Cuts at the deepest valley of the cohesion of a text; its curve is worked out once."""
+
+    def __init__(self, data: bytes):
+        self.places, sims = cohesion(data)
+        self.depth = depths(sims)
+
+    def __call__(self, data: bytes, start: int, turns: np.ndarray, limit: int = LIMIT, least: int = LEAST) -> int:
+        """The place of the deepest valley in (start + least, start + limit], the last of several equal ones; in a window
+        without a place, the last character start."""
+        low, high = np.searchsorted(self.places, [start + least, start + limit], "right")
+        if low == high:
+            return max(_start_at(data, start + limit, -1), start + least + 1)
+        depth = self.depth[low:high]
+        return int(self.places[low + len(depth) - 1 - int(np.argmax(depth[::-1]))])
 
 
-CUTS = {"boundaries": cut_at_boundary, "cohesion": cut_at_valley}
+CUTS = {"boundaries": lambda data: cut_at_boundary, "cohesion": Valleys}
 
 
-def cuts(data: bytes, turns: np.ndarray, cut, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
+def cuts(data: bytes, turns: np.ndarray, how: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """(start, end) of the pieces of `data`; `turns` has the sorted starts of turns in it."""
-    out, a = [], 0
+    out, a, cut = [], 0, CUTS[how](data)
     while len(data) - a > limit:
         b = cut(data, a, turns)
         out.append((a, b))
@@ -107,7 +172,6 @@ def split_chunks(chunks: DataFrame, blobs: DataFrame, how: str = "boundaries") -
     wanted = large.withColumn("page", F.explode(F.sequence(F.expr(f"cast(byte_start div {PAGE} as int)"), F.expr(f"cast(byte_end div {PAGE} as int)"))))
     parts = wanted.join(_pages(blobs.join(large.select("cleaned_hash").distinct(), "cleaned_hash", "left_semi")), ["cleaned_hash", "page"])
     whole = parts.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("page", "data", "turns", "size"))).alias("parts"))
-    cut = CUTS[how]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -119,7 +183,7 @@ def split_chunks(chunks: DataFrame, blobs: DataFrame, how: str = "boundaries") -
                 if end > size or data[lo] & 0xC0 == 0x80 or (hi < len(data) and data[hi] & 0xC0 == 0x80):
                     continue
                 turns = np.concatenate([np.asarray(p["turns"], np.int64) for p in parts]) - start
-                rows += [(name, segment, turn, start + a, start + b) for a, b in cuts(data[lo:hi], turns, cut)]
+                rows += [(name, segment, turn, start + a, start + b) for a, b in cuts(data[lo:hi], turns, how)]
             out = pd.DataFrame(rows, columns=ids)
             yield out.astype({"segment": "Int32", "turn_start": "Int32"})
 
