@@ -159,6 +159,27 @@ def banded(df: DataFrame, key: str = "rep", form: str = "form", bands: int = BAN
     return df.select(key, form).mapInPandas(run, f"{key} {kind}, bands array<bigint>")
 
 
+def mapped(df: DataFrame, key: str = "rep", form: str = "form") -> DataFrame:
+    """(`key`, n, words): the number of pieces of each row's form and its parity bitmap."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.iloc[at : at + 1000]
+                h, owner, n = distinct_pieces(part[form].tolist())
+                bits = bitmaps(h, owner, len(n)).view(np.int64)
+                yield pd.DataFrame({key: part[key].to_numpy(), "n": n.astype(np.int32), **{w: bits[:, i] for i, w in enumerate(WORDS)}})
+
+    return df.select(key, form).mapInPandas(run, f"{key} {kind}, n int, " + ", ".join(f"{w} bigint" for w in WORDS))
+
+
+def leaves_room(a: str, b: str, least: float = SIM_MIN):
+    """Whether the sizes and bitmaps in the columns `{a}n`, `{a}w0`.. and `{b}n`, `{b}w0`.. leave room for `least`; no pair that reaches it is rejected."""
+    differ = sum(F.bit_count(F.col(f"{a}{w}").bitwiseXOR(F.col(f"{b}{w}"))) for w in WORDS)
+    return differ <= F.floor((1 - least) / (1 + least) * (F.col(f"{a}n") + F.col(f"{b}n")) + 1e-9)
+
+
 @pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([stmt_sim(x, y) for x, y in zip(a, b)], dtype="float64")
