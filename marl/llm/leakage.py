@@ -44,10 +44,14 @@ CELLS = 1 << 20
 SIDES = 40
 #: Passages of a paraphrase search, in words, and how far apart they begin.
 PASSAGE, STEP = 24, 8
-#: Codes of a passage and signs of each: a pair of a cosine of 0.9 shares one with a probability of 0.99, of 0.8 with 0.75; unrelated ones meet in one of 400.
-CODES, SIGNS = 40, 14
+#: Codes of a passage and signs of each: a pair of a cosine of 0.9 shares one with a probability of 0.97, of 0.8 with 0.75, of 0.7 with 0.4;
+#: a pair of overlapping passages has several chances.
+CODES, SIGNS = 64, 14
+#: Dimensions of the latent space of a paraphrase search.
+WIDE_RANK = 120
 #: The least cosine, the least share of the item's words in the longest common subsequence, and of its rarest words, of a paraphrase.
-COSINE, SUBSEQUENCE, ANSWER, RAREST = 0.7, 0.6, 0.75, 4
+#: Of four rarest words one may be missing, so that one of the two rarest is there.
+COSINE, SUBSEQUENCE, ANSWER, RAREST = 0.65, 0.6, 0.75, 4
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -97,19 +101,23 @@ def latent(blocks: np.ndarray, weight: np.ndarray, basis: np.ndarray) -> np.ndar
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), np.float32(1e-30))
 
 
-def latent_basis(table: DataFrame, weight: np.ndarray, seed: int = 8) -> np.ndarray:
-    """An orthonormal basis, BUCKETS x (RANK + OVERSAMPLE), of the leading right singular vectors of the block matrix.
+def _sample(table: DataFrame) -> DataFrame:
+    """The words of about FIT_DOCUMENTS rows, by their hash: nothing is sorted, and no task holds the sample."""
+    share = min(1.0, FIT_DOCUMENTS / max(table.count(), 1))
+    return table.where(F.pmod(F.xxhash64("words"), F.lit(1 << 20)) < int(share * (1 << 20))).select("words").coalesce(8)
+
+
+def latent_basis(table: DataFrame, weight: np.ndarray, seed: int = 8, rank: int = RANK) -> np.ndarray:
+    """An orthonormal basis, BUCKETS x (rank + OVERSAMPLE), of the leading right singular vectors of the block matrix.
 
     Every partition of the fitted documents multiplies its part of A'A with the basis; the parts are added by blocks of
     rows, and what comes to the driver is one matrix of fixed size. Two such products, with a QR decomposition after each.
     """
-    width = RANK + OVERSAMPLE
+    width = rank + OVERSAMPLE
     rng = np.random.default_rng(seed)
     random = rng.standard_normal((BUCKETS, width))
     basis = random
-    # A share of the rows by their hash: nothing is sorted, and no task holds the sample.
-    share = min(1.0, FIT_DOCUMENTS / max(table.count(), 1))
-    fit = keep(table.where(F.pmod(F.xxhash64("words"), F.lit(1 << 20)) < int(share * (1 << 20))).select("words").coalesce(8), "fit")
+    fit = keep(_sample(table), "fit")
     for _ in range(2):
         q = basis
 
@@ -228,9 +236,9 @@ def common_run(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(np.where(same[:, side : side + BLOCK].all(axis=1), before + BLOCK + behind, 0).astype(np.int32))
 
 
-def _model(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _model(table: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     weight = idf(table).astype(np.float32)
-    return weight, latent_basis(table, weight)
+    return weight, latent_basis(table, weight, rank=rank)
 
 
 def leaked_items(corpus: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
@@ -295,61 +303,97 @@ def paraphrases(a: np.ndarray, b: np.ndarray, rare: np.ndarray) -> bool:
     return common_subsequence(a, b) >= SUBSEQUENCE * len(b)
 
 
+def _centre(table: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The mean of the passages' vectors over the sample that the SVD is fitted on: what all passages share tells none apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = np.zeros(basis.shape[1]), 0
+        for batch in batches:
+            lists = _lists(batch, "words")
+            owner, place = passages(lists, np.array([len(w) for w in lists], np.int64))
+            vectors, _ = passage_vectors(lists, owner, place, weight, basis)
+            total, count = total + vectors.sum(axis=0), count + len(vectors)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()]), pa.array([count])], ["total", "count"])
+
+    parts = _sample(table).mapInArrow(run, "total array<double>, count bigint").collect()
+    return (sum((np.array(r[0]) for r in parts), np.zeros(basis.shape[1])) / max(sum(r[1] for r in parts), 1)).astype(np.float32)
+
+
+def _centred(vectors: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    out = vectors - centre
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), np.float32(1e-30))
+
+
+def rarest_words(words: np.ndarray, weight: np.ndarray, count: int = RAREST) -> np.ndarray:
+    """The rarest distinct words of a passage, rarest first, ties by the word."""
+    distinct = np.unique(words[words != 0])
+    return distinct[np.argsort(-weight[distinct % BUCKETS], kind="stable")[:count]]
+
+
 def paraphrased_items(corpus: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
     """(`key`, `item`) of each document that holds a passage of an item whole or in changed words.
 
-    A pair comes out when a passage of PASSAGE words of the document and one of the item meet in a code, have a cosine of COSINE or more, a longest
-    common subsequence of SUBSEQUENCE of the item's words, and share ANSWER of the RAREST words of the item's passage.
-    The codes are an index: a pair may be missed, with the probability that CODES states; the checks are exact. Null, empty and repeated rows
-    are taken as by `leaked_items`; a text shorter than a passage is one.
+    A pair comes out when a passage of PASSAGE words of the document and one of the item meet in a code and in one of the item's two rarest
+    words, have a cosine of COSINE or more, a longest common subsequence of SUBSEQUENCE of the item's words, and share ANSWER of the
+    RAREST words of the item's passage. The codes are an index: a pair may be missed, with the probability that CODES states;
+    the word asked for besides loses nothing, and the checks are exact. Null, empty and repeated rows are taken as by `leaked_items`;
+    a text shorter than a passage is one.
     """
     spark = corpus.sparkSession
     table = keep(words(corpus, key, text, PASSAGE).where(F.size("words") > 0), "words")
     own = keep(words(items, item, item_text, PASSAGE).where(F.size("words") > 0), "items")
-    weight, basis = _model(table)
+    weight, basis = _model(table, WIDE_RANK)
+    model = spark.sparkContext.broadcast((weight, basis, _centre(table, weight, basis)))
 
-    def coded(side: DataFrame, k: str, only=None) -> DataFrame:
+    def coded(side: DataFrame, k: str, asks: bool, cells: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+        """(code, cell, word_cell, k, part, at): codes joined with words, the two rarest of an item's passage, or those of a document's that an item asks for."""
         kind = side.schema[k].dataType.simpleString()
-        shared = spark.sparkContext.broadcast((weight, basis, only))
+        shared = spark.sparkContext.broadcast(cells)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weight, basis, only = shared.value
+            weight, basis, centre = model.value
             for whole in batches:
                 for start in range(0, whole.num_rows, 200):
                     batch = whole.slice(start, 200)
                     lists = _lists(batch, "words")
                     owner, place = passages(lists, batch.column(3).to_numpy())
-                    vectors, _ = passage_vectors(lists, owner, place, weight, basis)
-                    code = near_codes(vectors)
+                    vectors, said = passage_vectors(lists, owner, place, weight, basis)
+                    if asks:
+                        rare = [rarest_words(w, weight, 2) for w in said]
+                        row, word = np.repeat(np.arange(len(said)), [len(r) for r in rare]), np.concatenate(rare) if rare else np.zeros(0, np.int64)
+                    else:
+                        row, column = np.nonzero((said != 0) & shared.value[0][_cell(said)])
+                        word = said[row, column]
+                    which, at = np.unique(row, return_inverse=True)
+                    code = near_codes(_centred(vectors[which], centre))[at] if len(which) else np.zeros((0, CODES), np.int64)
+                    code = (code + 1) * np.int64(-7046029254386353131) ^ word[:, None]
                     cell = _cell(code)
-                    who, which = np.nonzero(only[cell] if only is not None else np.ones_like(code, bool))
-                    taken = pa.array(owner[who], pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(code[who, which]), pa.array(cell[who, which]), batch.column(0).take(taken), batch.column(1).take(taken), pa.array(place[who].astype(np.int32))], ["code", "cell", "k", "part", "at"])
+                    who, n = np.nonzero(np.ones_like(code, bool) if asks else shared.value[1][cell])
+                    taken = pa.array(owner[row[who]], pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(code[who, n]), pa.array(cell[who, n]), pa.array(_cell(word)[who]), batch.column(0).take(taken), batch.column(1).take(taken), pa.array(place[row[who]].astype(np.int32))], ["code", "cell", "word_cell", "k", "part", "at"])
 
-        return side.select(k, "part", "words", "fresh").mapInArrow(run, f"code bigint, cell bigint, k {kind}, part int, at int")
+        return side.select(k, "part", "words", "fresh").mapInArrow(run, f"code bigint, cell bigint, word_cell bigint, k {kind}, part int, at int")
 
-    asked = keep(coded(own, item), "asked")
-    held = coded(table, key, _cells_of(asked))
+    asked = keep(coded(own, item, True), "asked")
+    cells = _cells_of(asked.select(F.col("word_cell").alias("cell"))), _cells_of(asked)
+    held = coded(table, key, False, cells)
     met = held.select("code", "k", "part", "at").join(asked.select("code", F.col("k").alias("ik"), F.col("part").alias("ip"), F.col("at").alias("iat")), "code").select("k", "part", "at", "ik", "ip", "iat").distinct()
     a = table.select(F.col(key).alias("k"), "part", F.col("words").alias("dw"))
     b = own.select(F.col(item).alias("ik"), F.col("part").alias("ip"), F.col("words").alias("iw"))
     cut = lambda w, at: F.slice(w, F.col(at) + 1, PASSAGE)
-    both = met.join(b, ["ik", "ip"]).withColumn("iw", cut("iw", "iat")).join(a, ["k", "part"]).withColumn("dw", cut("dw", "at"))
-    shared = spark.sparkContext.broadcast((weight, basis))
+    both = met.join(a, ["k", "part"]).withColumn("dw", cut("dw", "at")).join(b, ["ik", "ip"]).withColumn("iw", cut("iw", "iat"))
 
     @pandas_udf(BooleanType())
     def good(dw: pd.Series, iw: pd.Series) -> pd.Series:
-        weight, basis = shared.value
+        weight, basis, centre = model.value
         left, right = [np.asarray(x, np.int64) for x in dw], [np.asarray(x, np.int64) for x in iw]
-        zero = np.zeros(len(left), np.int64)
-        va, wa = passage_vectors(left, np.arange(len(left)), zero, weight, basis)
-        vb, wb = passage_vectors(right, np.arange(len(right)), zero, weight, basis)
-        near = (va * vb).sum(axis=1) >= COSINE
+        row, zero = np.arange(len(left)), np.zeros(len(left), np.int64)
+        va, wa = passage_vectors(left, row, zero, weight, basis)
+        vb, wb = passage_vectors(right, row, zero, weight, basis)
+        near = (_centred(va, centre) * _centred(vb, centre)).sum(axis=1) >= COSINE
         out = np.zeros(len(left), bool)
         for i in np.flatnonzero(near):
-            distinct = np.unique(right[i])
-            rare = distinct[np.argsort(-weight[distinct % BUCKETS], kind="stable")[:RAREST]]
-            out[i] = paraphrases(wa[i], wb[i], rare)
+            out[i] = paraphrases(wa[i], wb[i], rarest_words(wb[i], weight))
         return pd.Series(out)
 
     out = keep(both.where(good("dw", "iw")).select(F.col("k").alias(key), F.col("ik").alias(item)).distinct(), "paraphrases")
