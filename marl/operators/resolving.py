@@ -28,6 +28,7 @@ from marl.plans.scratch import drop, keep
 DUP, SHOWN, RARE, RARE_MIN, QUOTE_MIN = 0.95, 3, 8, 2, 40
 #: Rare pieces of a text by which others are linked to it when a model is asked; more than RARE, for rarity is counted over all texts here.
 LINK_RARE = 32
+WORDS = ["w0", "w1", "w2", "w3"]
 #: Texts of this similarity are folded in one group when no model is asked. It lies below DUP, for a claim grows by what it takes.
 DUP_LINK = 0.8
 EDGES = "event_id string, claim_id string, verb string, by string, stmt_sim double"
@@ -102,32 +103,42 @@ def settle_event(pool: Pool, e: dict, adjudicate: Adjudicator | None) -> tuple[s
     return chosen[1], verb, by, round(-chosen[0], 6)
 
 
-def _met_by_prefix(units: DataFrame, told: DataFrame, bar: float) -> DataFrame:
-    """(unit, other) of units that share one of their first pieces, rarest first: every pair of a similarity of `bar` does."""
-    held = told.join(frequencies(told), "member").groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("df", "member"))).alias("_all"))
-    first = F.greatest(F.size("pieces") - F.ceil(F.size("pieces") * bar - 1e-9).cast("int") + 1, F.lit(1))
+def _maps(pieces: DataFrame) -> DataFrame:
+    """(unit, n, w0..w3): how many pieces a unit has, and their parity bitmap; two sets that differ in d pieces have bitmaps that differ in d bits at most."""
+    word, bit = F.pmod("member", F.lit(len(WORDS))), F.shiftrightunsigned("member", 40).bitwiseAND(63).cast("int")
+    flip = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return pieces.groupBy("unit").agg(F.count("*").cast("int").alias("n"), *[F.bit_xor(F.when(word == i, flip).otherwise(F.lit(0).cast("bigint"))).alias(w) for i, w in enumerate(WORDS)])
+
+
+def _met_by_prefix(maps: DataFrame, pieces: DataFrame, bar: float) -> DataFrame:
+    """(a, b) of units that share one of their first pieces, rarest first: every pair of a similarity of `bar` does. Sizes and bitmaps reject in the join, without loss."""
+    held = pieces.join(frequencies(pieces).where("df > 1"), "member").groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("df", "member"))).alias("_all")).join(maps, "unit")
     # Pieces that no other text holds come first of all: they are part of the prefix and meet nothing.
-    left = first - (F.size("pieces") - F.size("_all"))
-    rows = held.join(units.select("unit", "pieces"), "unit").where(left > 0).select("unit", F.size("pieces").alias("n"), F.explode(F.slice("_all", F.lit(1), left)).alias("m")).select("unit", "n", "m.member")
-    other = rows.select("member", F.col("unit").alias("other"), F.col("n").alias("m"))
-    return rows.join(other, "member").where((F.col("unit") < F.col("other")) & (F.col("n") >= bar * F.col("m")) & (F.col("m") >= bar * F.col("n"))).select("unit", "other").distinct()
+    left = F.col("n") - F.ceil(F.col("n") * bar - 1e-9).cast("int") + 1 - (F.col("n") - F.size("_all"))
+    rows = keep(held.where(left > 0).select("unit", "n", *WORDS, F.explode(F.slice("_all", F.lit(1), left)).alias("m")).select("unit", "n", *WORDS, "m.member"), "prefix")
+    side = lambda c: rows.select("member", F.col("unit").alias(c), *[F.col(w).alias(f"{c}_{w}") for w in ("n", *WORDS)])
+    differ = sum(F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WORDS)
+    room = F.floor((1 - bar) / (1 + bar) * (F.col("a_n") + F.col("b_n")) + 1e-9)
+    fits = (F.col("a_n") >= bar * F.col("b_n")) & (F.col("b_n") >= bar * F.col("a_n")) & (differ <= room)
+    return side("a").join(side("b"), "member").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
 
 
-def _links(units: DataFrame, told: DataFrame, facets: DataFrame, bar: float, exact: bool) -> DataFrame:
+def _links(units: DataFrame, pieces: DataFrame, facets: DataFrame, bar: float, exact: bool) -> DataFrame:
     """(a, b) of units that may meet and are similar to `bar`; sizes reject before any text is fetched."""
-    size = units.select("unit", F.size("pieces").alias("n"))
+    maps = keep(_maps(pieces), "maps")
     if exact:
-        met = _met_by_prefix(units, told, bar)
+        pairs = _met_by_prefix(maps, pieces, bar)
     else:
+        told = pieces.join(frequencies(pieces).where("df > 1").select("member"), "member")
         rare = rarest(told, told, "unit", LINK_RARE)
         met = rare.join(told.select("member", F.col("unit").alias("other")), "member").where("unit <> other").groupBy("unit", "other").agg(F.count("*").alias("c")).where(F.col("c") >= RARE_MIN).select("unit", "other")
         met = met.union(shared_facets(facets, facets.withColumnRenamed("unit", "other"), "unit", "other", units.count()).where("unit < other"))
-    pairs = met.select(F.least("unit", "other").alias("a"), F.greatest("unit", "other").alias("b")).distinct()
-    sized = pairs.join(size.select(F.col("unit").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("unit").alias("b"), F.col("n").alias("nb")), "b")
-    sized = sized.where((F.col("na") >= bar * F.col("nb")) & (F.col("nb") >= bar * F.col("na")))
+        size = lambda c: maps.select(F.col("unit").alias(c), F.col("n").alias(f"{c}_n"))
+        pairs = met.select(F.least("unit", "other").alias("a"), F.greatest("unit", "other").alias("b")).distinct().join(size("a"), "a").join(size("b"), "b")
+        pairs = pairs.where((F.col("a_n") >= bar * F.col("b_n")) & (F.col("b_n") >= bar * F.col("a_n"))).select("a", "b")
     side = lambda c: units.select(F.col("unit").alias(c), F.col("pieces").alias(f"p{c}"))
-    both = sized.join(side("a"), "a").join(side("b"), "b").withColumn("s", F.size(F.array_intersect("pa", "pb")))
-    return both.where(F.col("s") >= bar * (F.col("na") + F.col("nb") - F.col("s"))).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("s", F.size(F.array_intersect("pa", "pb")))
+    return both.where(F.col("s") >= bar * (F.size("pa") + F.size("pb") - F.col("s"))).select("a", "b")
 
 
 def resolve(events: DataFrame, adjudicate: Adjudicator | None = None, blocked: DataFrame | None = None) -> DataFrame:
@@ -157,11 +168,10 @@ def resolve(events: DataFrame, adjudicate: Adjudicator | None = None, blocked: D
     first = rows.groupBy("form", "own").agg(F.min("place")["event_id"].alias("unit"))
     chosen = first.select(F.col("unit").alias("event_id")).join(rows, "event_id").withColumnRenamed("event_id", "unit")
     units = keep(chosen.withColumn("pieces", shingles(F.col("form"))), "units")
-    pieces = keep(members(units, "unit", "pieces"), "pieces")
-    common = pieces.groupBy("member").agg(F.count("*").alias("c")).where("c > 1").select("member")
-    told = pieces.join(common, "member").select("unit", "member")
     able = units.where(F.col("entropy") >= H_MIN)
-    links = _links(able, told.join(able.select("unit"), "unit", "left_semi"), members(able, "unit", "facets"), J_MAYBE if adjudicate is not None else DUP_LINK, adjudicate is None)
+    # The pieces of a text are distinct as they are; hashes stand for them where texts are only linked.
+    pieces = keep(able.select("unit", F.explode(F.transform("pieces", lambda p: F.xxhash64(p))).alias("member")), "pieces")
+    links = _links(able, pieces, members(able, "unit", "facets"), J_MAYBE if adjudicate is not None else DUP_LINK, adjudicate is None)
     roots = components(links).withColumnRenamed("node", "unit")
     listed = ("root", "place", F.col("unit").alias("event_id"), "sitting", "summary", "thin", "entropy", "pieces", "facets", "blocked")
     met = units.join(roots, "unit").select(*listed)
