@@ -124,11 +124,10 @@ def _doubled(rows: DataFrame) -> DataFrame:
     known = here.select("session_id", F.col("uuid").alias("ref"), F.col("uuid").alias("to"))
     linked = here.join(known, ["session_id", "ref"], "left")
     lost = linked.where(F.col("ref").isNotNull() & F.col("to").isNull() & (F.col("flags").bitwiseAND(BRIDGE) != 0))
-    # The last turn before each lost boundary, by neighbours: only turns and boundaries are in line, cut by their place.
-    line = here.where(F.col("flags").bitwiseAND(TIP | BRIDGE) != 0).withColumn("stretch", F.expr(f"pos div {STRETCH}"))
-    turn = F.when(F.col("flags").bitwiseAND(TIP) != 0, F.col("uuid"))
-    bridged = with_last(line, ["session_id"], place, "stretch", turn, "bridge").where("bridge is not null")
-    bridged = bridged.join(lost.select("session_id", "uuid"), ["session_id", "uuid"], "left_semi").select("session_id", "uuid", "bridge")
+    # The last turn of a lower place than each lost boundary, by neighbours: turns and lost boundaries are in line, cut by their place.
+    turns = here.where(F.col("flags").bitwiseAND(TIP) != 0).select("session_id", "uuid", "pos", F.lit(1).alias("side"), F.col("uuid").alias("turn"))
+    line = lost.select("session_id", "uuid", "pos", F.lit(0).alias("side"), F.lit(None).cast("string").alias("turn")).union(turns).withColumn("stretch", F.expr(f"pos div {STRETCH}"))
+    bridged = with_last(line, ["session_id"], F.struct("pos", "side", "uuid"), "stretch", F.col("turn"), "bridge").where("side = 0 and bridge is not null").select("session_id", "uuid", "bridge")
     linked = linked.join(bridged, ["session_id", "uuid"], "left")
     stuck = F.col("ref").isNotNull() & F.col("to").isNull() & (F.col("flags").bitwiseAND(BRIDGE) == 0)
     base = linked.select("session_id", "uuid", "flags", F.coalesce("to", "bridge").alias("next"), stuck.alias("stuck"))
