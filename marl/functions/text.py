@@ -42,8 +42,9 @@ def fold(text: pd.Series) -> pd.Series:
 
 
 def shingles(form: Column, k: int = SHINGLE_K) -> Column:
-    """Distinct substrings of `k` characters of a form, the whole form if shorter, none if empty; null for null."""
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(form) - (k - 1)), lambda i: F.substr(form, i, F.lit(k))))
+    """Distinct substrings of `k` characters of a form, the whole form if shorter, none if empty; null for null. Linear in the form: it is split into characters once."""
+    every = lambda chars: F.transform(F.sequence(F.lit(0), F.size(chars) - k), lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)]))
+    grams = F.array_distinct(F.flatten(F.transform(F.array(F.split(form, "")), every)))
     return F.when(F.length(form) == 0, F.array().cast("array<string>")).when(F.length(form) < k, F.array(form)).otherwise(grams)
 
 

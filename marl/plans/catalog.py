@@ -472,7 +472,8 @@ SELECT event_id, item_id, count(*) AS shared FROM r JOIN p USING (m) WHERE k <=
 """)
 def rare_shingle_candidates(spark, folder):
     """Claims that share two of an event's eight rarest pieces."""
-    grams = lambda t, key, col: matching.members(t.where(f"{col} is not null").select(key, text.shingles(text.normalize(F.col(col))).alias("g")), key, "g")
+    # Both keys are unique and the pieces of a text are distinct: nothing is left to make once.
+    grams = lambda t, key, col: t.where(f"{col} is not null").select(key, F.explode(text.shingles(text.normalize(F.col(col)))).alias("member"))
     return matching.rare_candidates(grams(table(spark, folder, "resolved_event"), "event_id", "quote"), grams(table(spark, folder, "benchmark"), "item_id", "text"), "event_id", "item_id")
 
 
