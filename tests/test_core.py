@@ -282,7 +282,6 @@ def test_facet_pairs_keep_frequent_members(spark):
     table = spark.createDataFrame([(k, "all") for k in "abcd"] + [("a", "x"), ("b", "x"), ("c", "own")], "id string, member string")
     got = {(r.a, r.b): r.shared for r in matching.facet_pairs(table, "id").collect()}
     assert got == {(a, b): ["all", "x"] if a + b == "ab" else ["all"] for i, a in enumerate("abcd") for b in "abcd"[i + 1 :]}
-    assert matching.facet_pairs(table, "id", 0.02).count() == 0
     assert matching.facet_pairs(table.limit(0), "id").count() == 0
 
 
