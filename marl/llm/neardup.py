@@ -3,7 +3,7 @@
 Light sets (few pieces) enumerate every fixed-size subset that a light partner must share. Heavy sets scan inverted
 lists: pieces are ordered rarest first, a set is listed under the first of them only, as many as a partner cannot avoid,
 and two sets that meet in a list are compared by their sizes, their places in the order and their parity bitmaps, all of
-which reject without loss; the texts decide what remains. The boundary between light and heavy is the largest size at which
+which reject without loss; the texts decide what remains. Long lists are compared in tiles, all bitmaps against all. The boundary between light and heavy is the largest size at which
 enumeration costs less than scanning, by the lengths of the lists in the data and the measured cost of a row and of a comparison.
 
 Texts that are copies with edits of one another are joined to one of them first, by a few minwise bands of which each
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -31,10 +31,12 @@ from marl.plans.scratch import drop, keep
 FIRST_BANDS = 20
 #: Frequencies are kept for this many classes of pieces; any order of the pieces is right, a rarer-first one is fast.
 CLASSES = 1 << 16
-#: Entries of a list that one task compares with as many others; pairs looked at in one step.
-BLOCK, _STEP = 4096, 1 << 20
+#: Entries of a list that one task compares with as many others (smaller blocks are sent out more often); pairs looked at in one step.
+BLOCK, _STEP = 32768, 1 << 20
 #: Entries gathered before they are compared, in whole lists.
 _GATHER = 1 << 17
+#: Rows and columns of a tile, and pairs from which a tile is worth laying out.
+_ROWS, _COLUMNS, _TILE = 128, 4096, 4096
 #: Measured nanoseconds of an enumerated row (hashed, shuffled, joined) and of a comparison in a list.
 ROW_NS, COMPARE_NS = 1500.0, 30.0
 _EPS = 1e-9
@@ -166,7 +168,8 @@ class _Lists:
         order = np.lexsort((of("rep"), of("n"), group))
         self.group, self.n, self.at, self.rep, self.root = group[order], of("n")[order].astype(np.int64), of("at")[order].astype(np.int64), of("rep")[order], of("root")[order]
         self.listed, self.other = of("listed").astype(bool)[order], of("other").astype(bool)[order]
-        self.bits = np.stack([of(w) for w in sketch.WORDS], axis=1)[order].view(np.uint64)
+        self.bits = np.stack([of(w)[order] for w in sketch.WORDS]).view(np.uint64)
+        self.folded = sketch.folded(self.bits)
         both = np.bincount(group, weights=of("other").astype(float)) > 0
         self.across = both[self.group]
         self.major = self._largest()
@@ -200,13 +203,21 @@ class _Lists:
             return
         wide = np.int64(self.n.max()) + 2
         key = self.group[held] * wide + self.n[held]
+        # The pieces from its place on bound a partner's size.
+        most = np.floor((self.n[asks] - self.at[asks]) * (1 + self.least) / self.least - self.n[asks] + 1e-6).astype(np.int64)
         if down:
             lo = np.searchsorted(key, self.group[asks] * wide + np.ceil(self.least * self.n[asks] - _EPS).astype(np.int64), "left")
-            hi = np.searchsorted(held, asks, "left")
+            hi = np.minimum(np.searchsorted(held, asks, "left"), np.searchsorted(key, self.group[asks] * wide + np.minimum(most, wide - 1), "right"))
         else:
-            most = np.minimum(np.floor(self.n[asks] / self.least + _EPS).astype(np.int64), wide - 1)
+            most = np.minimum(np.minimum(np.floor(self.n[asks] / self.least + _EPS).astype(np.int64), most), wide - 1)
             lo, hi = np.searchsorted(held, asks, "right"), np.searchsorted(key, self.group[asks] * wide + most, "right")
         many = np.maximum(hi - lo, 0)
+        first, last, low, high = self._tiles(asks, lo, hi, many)
+        apart = np.ones(len(asks), bool)
+        for s, e, left, right in zip(first, last, low, high):
+            apart[s:e] = False
+            yield from self._tile(asks[s:e], held, lo[s:e], hi[s:e], left, right, down)
+        asks, lo, many = asks[apart], lo[apart], many[apart]
         ends = np.cumsum(many)
         start = 0
         while start < len(asks):
@@ -220,6 +231,36 @@ class _Lists:
                 yield from self._close(small, large)
             start = stop
 
+    def _tiles(self, asks: np.ndarray, lo: np.ndarray, hi: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first, last) of the stretches of `asks` that are compared as tiles, and (low, high) of what is held for each: most of such a tile are pairs to be compared."""
+        group = self.group[asks]
+        heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        nth = np.arange(len(asks)) - np.repeat(heads, np.diff(np.r_[heads, len(asks)]))
+        first = np.flatnonzero(nth % _ROWS == 0)
+        last = np.r_[first[1:], len(asks)]
+        total = np.add.reduceat(many, first)
+        low = np.minimum.reduceat(np.where(many > 0, lo, np.iinfo(np.int64).max), first)
+        high = np.maximum.reduceat(np.where(many > 0, hi, 0), first)
+        # A stretch without pairs has no low and no high.
+        good = total >= _TILE
+        good[good] = (high[good] - low[good]) * (last - first)[good] <= 4 * total[good]
+        return first[good], last[good], low[good], high[good]
+
+    def _tile(self, asks: np.ndarray, held: np.ndarray, lo: np.ndarray, hi: np.ndarray, low: int, high: int, down: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of `asks` with what is held from `low` to `high`, all bitmaps against all, folded ones first. One word at a time, without an index for each pair."""
+        for start in range(low, high, _COLUMNS):
+            part = held[start : min(start + _COLUMNS, high)]
+            room = np.minimum(sketch.room(self.n[asks] + self.n[part].max(), self.least), 255).astype(np.uint8)
+            both, differ = np.empty((len(asks), len(part)), np.uint64), np.zeros((len(asks), len(part)), np.uint8)
+            for mine, theirs in zip(self.folded[:, asks], self.folded[:, part]):
+                # 256 differing bits count as 0 and are looked at again.
+                differ += np.bitwise_count(np.bitwise_xor(mine[:, None], theirs, out=both))
+            near = np.flatnonzero(differ <= room[:, None])
+            i, j = near // len(part), near % len(part) + start
+            inside = (j >= lo[i]) & (j < hi[i])
+            mine, theirs = asks[i[inside]], held[j[inside]]
+            yield from self._close(*((theirs, mine) if down else (mine, theirs)))
+
     def _close(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         sizes = self.n[a] + self.n[b]
         share = np.ceil(self.least / (1 + self.least) * sizes - _EPS)
@@ -227,8 +268,8 @@ class _Lists:
         good &= ~self.across[a] | (self.other[a] != self.other[b])
         a, b, sizes = a[good], b[good], sizes[good]
         differ = np.zeros(len(a), np.int64)
-        for w in range(self.bits.shape[1]):
-            differ += np.bitwise_count(self.bits[a, w] ^ self.bits[b, w])
+        for word in self.bits:
+            differ += np.bitwise_count(word[a] ^ word[b])
         near = differ <= sketch.room(sizes, self.least)
         if near.any():
             yield a[near], b[near]
@@ -238,11 +279,19 @@ def scanned(entries: DataFrame, top: int, least: float = sketch.SIM_MIN) -> Data
     """(a, b), a < b, of the sets that meet in a list and may reach the threshold; at least one of a pair is heavy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table) -> pa.RecordBatch:
+        def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
             lists = _Lists(table, top, least)
-            pairs = [np.stack([lists.rep[a], lists.rep[b]], axis=1) for a, b in lists.pairs()]
-            both = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0) if pairs else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], ["a", "b"])
+            pairs: list[np.ndarray] = []
+            count = 0
+            # What is found leaves the task before it grows.
+            for a, b in chain(lists.pairs(), [(None, None)]):
+                if a is not None:
+                    pairs.append(np.sort(np.stack([lists.rep[a], lists.rep[b]], axis=1), axis=1))
+                    count += len(a)
+                if pairs and (a is None or count >= _STEP):
+                    both = np.unique(np.concatenate(pairs), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], ["a", "b"])
+                    pairs, count = [], 0
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -255,11 +304,11 @@ def scanned(entries: DataFrame, top: int, least: float = sketch.SIM_MIN) -> Data
             cut = 0 if starts else int(new[-1]) if len(new) else None
             if sum(b.num_rows for b in held) + batch.num_rows >= _GATHER and cut is not None:
                 head = [*held, batch.slice(0, cut)] if cut else held
-                yield found(pa.Table.from_batches(head))
+                yield from found(pa.Table.from_batches(head))
                 held, batch = [], batch.slice(cut)
             held.append(batch)
         if held:
-            yield found(pa.Table.from_batches(held))
+            yield from found(pa.Table.from_batches(held))
 
     return entries.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint")
 

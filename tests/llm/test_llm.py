@@ -139,6 +139,45 @@ def _entries(rooted, block):
     yield from neardup.list_entries(Frame(), counts, 0)
 
 
+def _one_list(rng, count, apart):
+    """A list of `count` entries, listed in its first places, whose texts are edits of one another: a few words or half of them changed."""
+    import pandas as pd
+
+    words = [[f"{rng.choice(WORDS)}{rng.randint(0, 99)}" for _ in range(12)] for _ in range(count // 10)]
+    forms = [" ".join(f"{rng.choice(WORDS)}{rng.randint(0, 99)}" if rng.random() < rng.choice([0.05, 0.5]) else w for w in rng.choice(words)) for _ in range(count)]
+    h, owner, n = sketch.distinct_pieces(forms)
+    bits = sketch.bitmaps(h, owner, count).view(np.int64)
+    at = np.array([rng.randint(0, int(0.45 * k)) for k in n])
+    entries = {"tile": 7, "other": [apart and rng.random() < 0.5 for _ in forms], "rep": np.arange(count), "root": [0 if rng.random() < 0.3 else i for i in range(count)], "n": n.astype(np.int32), "at": at.astype(np.int32), "listed": at <= 0.29 * n}
+    return pd.DataFrame(entries | {w: bits[:, i] for i, w in enumerate(sketch.WORDS)})
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_a_long_list_is_compared_in_tiles(monkeypatch, apart):
+    """Every pair of bitmaps that leaves room is found, and few of the others are laid out one by one."""
+    import pyarrow as pa
+
+    entries = _one_list(random.Random(9), 1500, apart)
+    laid = []
+    close = neardup._Lists._close
+    monkeypatch.setattr(neardup._Lists, "_close", lambda self, a, b: (laid.append(len(a)), close(self, a, b))[1])
+    lists = neardup._Lists(pa.Table.from_pandas(entries, preserve_index=False), 0, 0.55)
+    pairs = [tuple(sorted((int(lists.rep[x]), int(lists.rep[y])))) for a, b in lists.pairs() for x, y in zip(a, b)]
+    n, at, root = (entries[c].to_numpy(np.int64) for c in ("n", "at", "root"))
+    bits = entries[sketch.WORDS].to_numpy(np.int64).view(np.uint64)
+    order = np.lexsort((entries["rep"], n))
+    want = set()
+    for x, i in enumerate(order):
+        later = order[x + 1 :]
+        total = n[i] + n[later]
+        good = (n[i] >= 0.55 * n[later]) & (root[i] != root[later]) & (np.minimum(n[i] - at[i], n[later] - at[later]) >= np.ceil(0.55 / 1.55 * total - 1e-9)) & bool(entries["listed"][i])
+        good &= np.bitwise_count(bits[i] ^ bits[later]).sum(axis=1) <= sketch.room(total, 0.55)
+        good &= (entries["other"][i] != entries["other"].to_numpy()[later]) | (not apart)
+        want |= {tuple(sorted((int(i), int(j)))) for j in later[good]}
+    assert len(want) > 100 and set(pairs) == want and len(pairs) == len(want)
+    assert sum(laid) < 0.2 * 1500 * 1499 / 2
+
+
 def brute_repeats(rows):
     taken, out = [], []
     for _, i, t in sorted((b, i, t) for i, b, t in rows if t is not None and b is not None):
