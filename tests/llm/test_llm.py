@@ -208,6 +208,38 @@ def test_repeats_by_batch(spark, monkeypatch, slices, stretch):
     assert kept.texts().count() == sum(t is not None and b is not None and sketch.entropy(sketch.normal_form(t)) >= 3 for _, b, t in rows) - got.count()
 
 
+def test_small_components_are_decided_in_several_tasks(spark, monkeypatch):
+    """Rows of few bytes too are spread over tasks, whole components each."""
+    rng = random.Random(8)
+    made = []
+    for root in range(150):
+        first = " ".join(f"{rng.choice(WORDS)}{rng.randint(0, 99)}" for _ in range(10)).split()
+        for _ in range(rng.randint(2, 6)):
+            made.append((root, len(made), rng.randint(1, 3), " ".join(w if rng.random() < 0.85 else rng.choice(WORDS) for w in first), rng.random() < 0.1))
+    kept = {}
+    keep = history.keep
+    monkeypatch.setattr(history, "keep", lambda df, label: kept.setdefault(label, keep(df, label)))
+    got = history._settled(spark.createDataFrame(made, "root bigint, id bigint, b bigint, form string, struck boolean"), 0.55)
+    want, taken = [], {}
+    for root, i, b, form, struck in sorted(made, key=lambda r: (r[2], r[1])):
+        near = [(-s, j) for j, f in taken.setdefault(root, []) if (s := sketch.stmt_sim(form, f)) >= 0.55]
+        if not near and not struck:
+            taken[root].append((i, form))
+        want.append((i, not near and not struck, -min(near)[0] if near else None, min(near)[1] if near else None))
+    assert tuples(got) == sorted(want, key=str) and any(w[1] for w in want) and any(w[2] for w in want)
+    assert len(kept["decided"].inputFiles()) > 1
+
+
+@pytest.mark.parametrize("step", [1, 7, 500])
+def test_a_component_may_go_on_in_the_next_batch(step):
+    import pandas as pd
+
+    made = texts(random.Random(10), 90)
+    rows = pd.DataFrame({"root": np.repeat([3, 5, 6, 9], [40, 1, 45, 4]), "id": np.arange(90), "form": made, "struck": [i % 11 == 0 for i in range(90)]})
+    out = pd.concat(list(history._each_decided((rows.iloc[i : i + step] for i in range(0, 90, step)), 0.55)), ignore_index=True)
+    pd.testing.assert_frame_equal(out, pd.concat([history.decided(g, 0.55) for _, g in rows.groupby("root")], ignore_index=True))
+
+
 def _batch(spark, rows):
     return spark.createDataFrame([(i, b, sketch.normal_form(t)) for i, b, t in rows], "id bigint, batch bigint, form string")
 
