@@ -315,6 +315,16 @@ def test_facet_relations_count_every_kind(spark):
     assert facets.edges(df.limit(0)).count() == 0
 
 
+def test_pairs_of_equal_lists_come_once(spark, monkeypatch):
+    """Concepts that hold the same members are met in lists, whose pairs come out once within a list and between two."""
+    monkeypatch.setattr(facets, "_LIST", 3)
+    held = {f"c{i:02}": ["t1", "t2"] if i % 3 else ["t2", "t3"] if i % 2 else ["t4"] for i in range(30)}
+    shape = "id string, facets struct<repos:array<string>,files:array<string>,tools:array<string>,time_range:array<string>>"
+    df = spark.createDataFrame([(k, ([], [], t, None)) for k, t in held.items()], shape)
+    want = sorted((a, b, "shares-tool", "+".join(sorted({*held[a]} & {*held[b]}))) for a in held for b in held if a < b and {*held[a]} & {*held[b]})
+    assert rows(facets.edges(df, lambda shared: F.array_join(shared, "+"))) == want
+
+
 def test_band_counts_take_every_pair(spark):
     rng = random.Random(5)
     base = ["the cache is cleared before each run of the build", "Ünïcode 漢字 and ascii stand side by side here", "retry the upload once, then give up"]
