@@ -325,6 +325,18 @@ def test_pairs_of_equal_lists_come_once(spark, monkeypatch):
     assert rows(facets.edges(df, lambda shared: F.array_join(shared, "+"))) == want
 
 
+@pytest.mark.parametrize("hot", [0, 3, 100])
+def test_counts_of_sharing_keys(spark, hot):
+    """However many members count as hot, the counts are those of the pairs, members of more than half of all left out."""
+    rng = random.Random(7)
+    held = {f"k{i:02}": {f"m{int(rng.expovariate(0.25))}" for _ in range(rng.randint(0, 3))} | ({"all"} if i % 3 else set()) for i in range(40)}
+    table = spark.createDataFrame([(k, m) for k, ms in held.items() for m in ms], "id string, member string")
+    df = {m: sum(m in ms for ms in held.values()) for m in set().union(*held.values())}
+    told = {m for m, n in df.items() if n < 2 or n <= 20}
+    want = {k: n for k in held if (n := sum(bool(held[k] & held[o] & told) for o in held))}
+    assert "all" not in told and dict(rows(matching.shared_counts(table, "id", 40, hot=hot))) == want
+
+
 def test_band_counts_take_every_pair(spark):
     rng = random.Random(5)
     base = ["the cache is cleared before each run of the build", "Ünïcode 漢字 and ascii stand side by side here", "retry the upload once, then give up"]
