@@ -325,6 +325,30 @@ def test_pairs_of_equal_lists_come_once(spark, monkeypatch):
     assert rows(facets.edges(df, lambda shared: F.array_join(shared, "+"))) == want
 
 
+@pytest.mark.parametrize("choices", [2000, 3])
+def test_leaders_of_groups_are_those_of_pairs(spark, monkeypatch, choices):
+    """Without a pair laid out, or with some concepts paired one by one, the leaders are the same."""
+    monkeypatch.setattr(facets, "_CHOICES", choices)
+    rng = random.Random(11)
+    draw = lambda names, k: rng.sample(names, rng.randint(0, k))
+    data = {f"c{i:02}": (draw(["r1", "r2", "r3", "r4", "r5"], 4), draw([f"f{k}" for k in range(25)], 1), draw([f"t{k}" for k in range(12)], 8)) for i in range(40)}
+    shape = "id string, facets struct<repos:array<string>,files:array<string>,tools:array<string>,time_range:array<string>>"
+    df = spark.createDataFrame([(k, (*v, None)) for k, v in data.items()], shape)
+    score = lambda a, b: sum(w * len({*data[a][k]} & {*data[b][k]}) for k, w in enumerate((1.0, 3.0, 0.5)))
+    want = {(a, b) for a in data for b in data if a < b and score(a, b) >= 3.0}
+    held = facets.close_groups(df).collect()
+    by = {}
+    for r in held:
+        by.setdefault(tuple(r.key), []).append(r.node)
+    assert {(a, b) for g in by.values() for a in g for b in g if a < b} == want
+    lead = {}
+    for b in sorted(data):
+        lead[b] = next((a for a in sorted(lead) if lead[a] == a and (a, b) in want), b)
+    got = graphs.group_leaders(df.select(F.col("id").alias("node")), facets.close_groups(df))
+    assert dict(rows(got)) == lead and any(k != v for k, v in lead.items())
+    assert rows(graphs.group_leaders(df.select(F.col("id").alias("node")), facets.close_groups(df).limit(0))) == [(k, k) for k in sorted(data)]
+
+
 @pytest.mark.parametrize("hot", [0, 3, 100])
 def test_counts_of_sharing_keys(spark, hot):
     """However many members count as hot, the counts are those of the pairs, members of more than half of all left out."""
