@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -384,6 +385,24 @@ def test_band_counts_take_every_pair(spark):
     assert {tuple(r)[1:] for r in histogram.band_counts(df.limit(0), "id", "t", "s").collect()} == {(0, 0, 0)}
 
 
+@pytest.mark.parametrize("dense", [0, 5, 10_000])
+def test_similar_pairs_whatever_is_dense(monkeypatch, dense):
+    """Only pairs at the bound or above leave the comparison, and the same ones whether pieces are counted in a product or along lists."""
+    monkeypatch.setattr(histogram, "_DENSE", dense)
+    monkeypatch.setattr(histogram, "_ROWS", 7)
+    rng = random.Random(9)
+    words = ["cache", "build", "Ünï", "漢字", "retry", "once", "up", "a" + chr(0x1F600), "upload"]
+    forms = [" ".join(rng.sample(words, rng.randint(1, 6))) for _ in range(30)] + ["", "", "ab", "abc"]
+    grams = [{f[i : i + 4] for i in range(max(1, len(f) - 3))} if f else set() for f in forms]
+    sim = lambda i, j: len(grams[i] & grams[j]) / max(1, len(grams[i] | grams[j]))
+    frame = pd.DataFrame({"form": forms})
+    for low in (0.12, 0.55):
+        got = [(int(i), int(j), v) for block in histogram._similar(frame, None, low) for i, j, v in zip(*block)]
+        assert sorted(got) == [(i, j, sim(i, j)) for i in range(34) for j in range(i + 1, 34) if sim(i, j) >= low]
+        got = [(int(i), int(j) + 12, v) for block in histogram._similar(frame[:12], frame[12:], low) for i, j, v in zip(*block)]
+        assert sorted(got) == [(i, j, sim(i, j)) for i in range(12) for j in range(12, 34) if sim(i, j) >= low]
+
+
 @pytest.mark.parametrize("known", [True, False])
 def test_changed_entries_keep_runs_of_unknown_time(spark, known):
     t = dt.datetime(2026, 1, 1)
